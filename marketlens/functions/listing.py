@@ -76,76 +76,69 @@ def displacement_claim(parts: Column, text: Column) -> Column:
     return F.when(found != "", F.concat(found, F.lit("L"))).otherwise(F.lit("Unknown"))
 
 
-def _either(v: Column, path: str, *names: str) -> Column:
-    return F.coalesce(*[F.nullif(get_text(v, f"{path}.{n}"), F.lit("")) for n in names],
-                      F.lit(""))
+ADDRESS_FIELDS = ("addressLocality", "city", "addressRegion", "province", "streetAddress", "street",
+                  "postalCode", "zip")
+_ADDRESS = ", ".join(f"{f}: string" for f in ADDRESS_FIELDS)
+ADDRESS = f"struct<{_ADDRESS}>"
+PLACE = f"struct<{_ADDRESS}, address: {ADDRESS}>"
+LOCATION = f"struct<{_ADDRESS}, address: {PLACE}>"
 
 
-# Payload places that may hold listing geography, in order of preference.
-GEOGRAPHY_PATHS = (
-    "$.address", "$.contentLocation", "$.location.address", "$.location",
-    "$.offers.availableAtOrFrom", "$.offers.areaServed", "$.availableAtOrFrom",
-    "$.seller.address",
-)
+def address_entries(*places: Column) -> Column:
+    """Places in order of preference, each followed by its own nested address, as one array."""
+    entries = []
+    for place in places:
+        for holder in (place, place["address"]):
+            entries.append(F.struct(*[holder[f].alias(f) for f in ADDRESS_FIELDS]))
+    return F.array(*entries)
 
 
-def geography(item: Column) -> Column:
-    """First place with a locality or region, each followed by its own nested address."""
-    entries = []
-    for base in GEOGRAPHY_PATHS:
-        for path in (base, f"{base}.address"):
-            city = _either(item, path, "addressLocality", "city")
-            region = _either(item, path, "addressRegion", "province")
-            street = _either(item, path, "streetAddress", "street")
-            postal = _either(item, path, "postalCode", "zip")
-            entries.append(F.struct(
-                join_known([city, region]).alias("location"),
-                join_known([street, city, region, postal]).alias("address"),
-            ))
-    first = F.try_element_at(F.filter(F.array(*entries), lambda e: e["location"] != ""), F.lit(1))
-    return F.struct(
-        F.coalesce(first["location"], F.lit("")).alias("location"),
-        F.coalesce(first["address"], F.lit("")).alias("address"),
-        F.when(first.isNotNull(), F.lit(LISTING_SPECIFIC))
-        .otherwise(F.lit("unknown")).alias("status"),
-    )
+def geography(entries: Column) -> Column:
+    """First place with a locality or region: (location, address), NULL when there is none."""
+    def either(p: Column, a: str, b: str) -> Column:
+        first = F.trim(p[a])
+        return F.when(first != "", first).otherwise(F.coalesce(F.trim(p[b]), F.lit("")))
+
+    def shown(p: Column) -> Column:
+        city, region = either(p, "addressLocality", "city"), either(p, "addressRegion", "province")
+        street, postal = either(p, "streetAddress", "street"), either(p, "postalCode", "zip")
+        return F.struct(join_known([city, region]).alias("location"),
+                        join_known([street, city, region, postal]).alias("address"))
 
+    return F.try_element_at(
+        F.filter(F.transform(entries, shown), lambda e: e["location"] != ""), F.lit(1))
 
-def listing_id(item: Column, url: Column) -> Column:
-    """Structured identifier (possibly a {value} object), else the last numeric path segment."""
+
+def listing_id(identifiers: list[Column], url: Column) -> Column:
+    """First structured identifier (VARIANT scalar or {value} object), else the last numeric
+    path segment of the URL."""
     structured = [
-        F.coalesce(F.nullif(get_text(item, f"$.{k}"), F.lit("")),
-                   F.nullif(get_text(item, f"$.{k}.value"), F.lit("")))
-        for k in ("sku", "productID", "identifier")
+        F.coalesce(F.nullif(get_text(v, "$"), F.lit("")), F.nullif(get_text(v, "$.value"), F.lit("")))
+        for v in identifiers
     ]
     segments = F.regexp_extract_all(url, F.lit(r"/(\d+)(?=[/?#]|$)"), F.lit(1))
     return F.coalesce(*structured, F.try_element_at(segments, F.lit(-1)), F.lit(""))
 
 
-def first_offer(item: Column) -> Column:
+def first_offer(offers: Column, schema: str) -> Column:
     """The offer object: the object itself, or the first object of a list of offers."""
-    as_list = F.filter(
-        F.try_variant_get(item, "$.offers", "array<variant>"),
-        lambda o: F.try_variant_get(o, "$", "map<string,variant>").isNotNull(),
-    )
-    return F.coalesce(F.try_element_at(as_list, F.lit(1)),
-                      F.try_variant_get(item, "$.offers", "variant"))
+    listed = F.filter(F.try_variant_get(offers, "$", f"array<{schema}>"), lambda o: o.isNotNull())
+    return F.coalesce(F.try_element_at(listed, F.lit(1)), F.try_variant_get(offers, "$", schema))
+
 
+ENGINE_KEYS = ("fuelType", "name", "description", "engineDisplacement", "engineType", "configuration")
 
-def engine_parts(item: Column) -> Column:
-    """Texts of a structured engine given as object, list of objects or plain text."""
+
+def engine_parts(engine: Column) -> Column:
+    """Texts of a structured engine (VARIANT) given as object, list of objects or plain text."""
     entries = F.coalesce(
-        F.try_variant_get(item, "$.vehicleEngine", "array<variant>"),
-        F.array_compact(F.array(F.try_variant_get(item, "$.vehicleEngine", "variant"))),
-    )
-    keys = ("fuelType", "name", "description", "engineDisplacement", "engineType",
-            "configuration")
+        F.try_variant_get(engine, "$", "array<variant>"), F.array_compact(F.array(engine)))
 
     def texts(entry: Column) -> Column:
         fields = [
             F.coalesce(*[F.nullif(get_text(entry, f"$.{k}{tail}"), F.lit(""))
                          for tail in ("", ".value", ".name")])
-            for k in keys
+            for k in ENGINE_KEYS
         ]
         return F.array(*fields, F.try_variant_get(entry, "$", "string"))
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions.numbers import elapsed_days, elapsed_seconds, micros
+from marketlens.session import small_side
 
 SOURCE = ["vehicle_key", "source"]
 LISTING = [*SOURCE, "canonical_listing_id"]
@@ -65,9 +66,12 @@ def deduplicated_log(accepted: DataFrame, position: str = "source_record_index")
     )
 
 
-def sightings(log: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Every observation with its state, reason and the sighting before and after it."""
-    seen = log.join(calendar, [*SOURCE, "run_id"])
+def sightings(log: DataFrame, calendar: DataFrame, *, small: bool = True) -> DataFrame:
+    """Every observation with its state, reason and the sighting before and after it.
+
+    The calendar is broadcast when its counted size allows, so the log is shuffled once, by listing.
+    """
+    seen = log.join(small_side(calendar) if small else calendar, [*SOURCE, "run_id"])
     w = Window.partitionBy(*LISTING).orderBy("r")
     before = F.lag(F.struct("r", "run_ts", "retire_run", "prune_run")).over(w)
     seen = seen.withColumn("_p", before).withColumn("next_seen_r", F.lead("r").over(w))

@@ -52,7 +52,7 @@ def observations(spark: SparkSession, d: str) -> DataFrame:
         F.col("_day").cast("timestamp").alias("run_ts"), "price_cad")
 
 
-def seen(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def seen(spark: SparkSession, d: str, **limits: int) -> tuple[DataFrame, DataFrame]:
     """Sightings and run calendar of the observations."""
     from marketlens.operators import lifecycle as LC
 
@@ -62,7 +62,7 @@ def seen(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
         F.to_date("ts").alias("_day")).distinct().select(
             "vehicle_key", "source", F.col("_day").cast("string").alias("run_id"),
             F.col("_day").cast("timestamp").alias("run_ts"))
-    calendar = LC.run_calendar(runs)
+    calendar = LC.run_calendar(runs, **limits)
     return LC.sightings(obs.drop("run_ts"), calendar), calendar
 
 

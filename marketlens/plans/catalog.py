@@ -6,7 +6,7 @@ import importlib
 
 from marketlens.plans.registry import QUERIES, SQL
 
-MODULES = ("lifecycle_queries",)
+MODULES = ("lifecycle_queries", "listing_queries")
 
 for _name in MODULES:
     importlib.import_module(f"marketlens.plans.{_name}")

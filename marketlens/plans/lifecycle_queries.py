@@ -225,7 +225,7 @@ def elapsed_between_sightings(spark: SparkSession, d: str) -> DataFrame:
                        elapsed_days(seconds).alias("elapsed_days"))
 
 
-@query("retired_pruning_plan", STEPS_SQL + """
+@query("retired_pruning_plan", STEPS_SQL.replace("14 * 86400", "4 * 86400") + """
 , retired as (
   select *, (epoch(run_ts) - epoch(last_seen)) / 86400 as age,
          row_number() over (partition by vehicle_key, source
@@ -233,14 +233,14 @@ def elapsed_between_sightings(spark: SparkSession, d: str) -> DataFrame:
   from step s where r = (select max(r) from runs where runs.source = s.source) and state = 'retired'
 )
 select vehicle_key, source, canonical_listing_id,
-       case when age > 14 then 'retired_tombstone_age_limit_exceeded'
+       case when age > 8 then 'retired_tombstone_age_limit_exceeded'
             else 'retired_tombstone_count_limit_exceeded' end as reason
-from retired where age > 14 or pos > 1
+from retired where age > 8 or pos > 2
 """)
 def retired_pruning_plan(spark: SparkSession, d: str) -> DataFrame:
-    """Age and count limits scaled to the 30 days of the events table."""
-    sightings, _ = seen(spark, d)
-    return G.retired_to_prune(LC.current_state(sightings), keep=1, max_age_days=14).select(
+    """Retirement, age and count limits scaled to the 30 days of the events table."""
+    sightings, _ = seen(spark, d, days=4)
+    return G.retired_to_prune(LC.current_state(sightings), keep=2, max_age_days=8).select(
         *LC.LISTING, "reason")
 
 

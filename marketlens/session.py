@@ -1,8 +1,9 @@
-"""Session settings, the shared checkpoint folder and size-checked broadcasts."""
+"""Session settings, tables in the shared folder and size-checked broadcasts."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,26 +26,37 @@ def build_session(app: str = "marketlens", master: str | None = None, **extra: s
     return builder.getOrCreate()
 
 
-def checkpoint_folder(spark: SparkSession) -> str | None:
-    """Shared checkpoint folder named by the cluster; a scratch folder only for local masters."""
+def shared_folder(spark: SparkSession) -> str | None:
+    """Folder the cluster names in spark.checkpoint.dir; a scratch folder only on local masters."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
-    if folder is None and context.master.startswith("local"):
-        folder = context.getCheckpointDir() or tempfile.mkdtemp(prefix="marketlens-ckpt-")
-    if folder and context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
+    if folder is None and spark.sparkContext.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="marketlens-")
+        spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """Write a frame that is read more than once as a table in the shared folder and read it back.
+
+    Expensive parsing runs once, later reads prune columns, the planner sees real sizes, and a lost
+    executor re-reads files instead of recomputing. Without a shared folder the frame is unchanged.
+    """
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    if folder is None:
+        return df
+    path = f"{folder.rstrip('/')}/settled/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def small_side(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Materialise an aggregate once and broadcast it only if its counted size is within bounds.
+    """Settle an aggregate once and broadcast it only if its counted size is within bounds.
 
-    Above ``max_rows`` (or with no shared checkpoint folder) the frame is returned without a hint
-    and the join stays a shuffle join under AQE skew handling.
+    Above ``max_rows`` (or with no shared folder) the frame is returned without a hint and the join
+    stays a shuffle join under AQE skew handling.
     """
-    if checkpoint_folder(df.sparkSession) is None:
+    if shared_folder(df.sparkSession) is None:
         return df
-    kept = df.checkpoint(eager=True)
-    if kept.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(kept)
-    return kept
+    kept = settle(df)
+    return F.broadcast(kept) if kept.count() <= max_rows else kept
