@@ -6,7 +6,7 @@ import importlib
 
 from marketlens.plans.registry import QUERIES, SQL
 
-MODULES = ("lifecycle_queries", "listing_queries")
+MODULES = ("lifecycle_queries", "listing_queries", "market_queries", "page_queries", "health_queries")
 
 for _name in MODULES:
     importlib.import_module(f"marketlens.plans.{_name}")
