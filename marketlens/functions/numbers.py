@@ -10,7 +10,8 @@ SECONDS_PER_DAY = 86400
 
 
 def half_even(c: Column, scale: int = 0) -> Column:
-    return F.bround(c, scale)
+    """Round the binary value half to even (1.035 is below the tie and becomes 1.03)."""
+    return F.rint(c * 10**scale) / 10**scale
 
 
 def half_even_long(c: Column) -> Column:
@@ -27,7 +28,7 @@ def elapsed_seconds(start: Column, end: Column) -> Column:
 
 
 def elapsed_days(seconds: Column) -> Column:
-    return F.bround(seconds / SECONDS_PER_DAY, 6)
+    return half_even(seconds / SECONDS_PER_DAY, 6)
 
 
 def great_circle_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlens.session import spread
+
 RUN = "run-1"
 CURRENT_YEAR = 2002
 EARLY = (1998, 2000)
@@ -97,7 +99,7 @@ LISTING_SQL = (
 
 
 def listings(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "lineitem").join(
+    return spread(table(spark, d, "lineitem")).join(
         table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).selectExpr(*LISTING_COLUMNS)
 
 

@@ -567,9 +567,8 @@ def canonical_reconciliation(spark: SparkSession, d: str) -> DataFrame:
     return C.reconcile(C.canonical_records(snapshot(spark, d), current_year=CURRENT_YEAR))
 
 
-def adapter_canonical(spark: SparkSession, d: str) -> DataFrame:
-    """Routed listing objects of both source kinds as canonical records."""
-    routed = state_routed(spark, d)
+def adapter_canonical(routed: DataFrame) -> DataFrame:
+    """Routed listing objects as canonical records."""
     r = F.col("parsed_row")
     km = F.col("distance_km").cast("string")
     text = {n: r[n].cast("string") for n in (
@@ -605,7 +604,7 @@ select {KEYS.replace(", listing_id", "")}, record_stage,
 from routed
 """)
 def adapter_canonical_records(spark: SparkSession, d: str) -> DataFrame:
-    return adapter_canonical(spark, d).select(
+    return adapter_canonical(state_routed(spark, d)).select(
         "vehicle_key", "source", "source_record_index", "record_stage", "canonical_listing_id",
         F.array_join("rejection_reasons", ";").alias("rejections"),
         F.try_element_at("field_evidence", F.lit("distance_km"))["evidence_status"].alias("distance_status"))
@@ -620,4 +619,5 @@ select 'run-1' as run_id, vehicle_key, source, count(*) as fetched_records,
 from routed group by all
 """)
 def adapter_reconciliation(spark: SparkSession, d: str) -> DataFrame:
-    return C.reconcile(adapter_canonical(spark, d), RT.stage_counts(state_routed(spark, d)))
+    routed = settle(state_routed(spark, d))
+    return C.reconcile(adapter_canonical(routed), RT.stage_counts(routed))

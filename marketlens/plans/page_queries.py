@@ -10,6 +10,7 @@ from marketlens.functions.payload import source_text
 from marketlens.operators import extract as E
 from marketlens.plans.bindings import table
 from marketlens.plans.registry import query
+from marketlens.session import spread
 from marketlens.sources import files as FS
 from marketlens.sources import snapshots as SN
 
@@ -41,7 +42,7 @@ select page_id, cast(octet_length(encode(html)) as bigint) as response_bytes, sh
 from shown
 """)
 def page_diagnostics(spark: SparkSession, d: str) -> DataFrame:
-    return E.page_diagnostics(table(spark, d, "pages"), "html", "/t").select(
+    return E.page_diagnostics(spread(table(spark, d, "pages")), "html", "/t").select(
         "page_id", "response_bytes", "response_sha256", "page_title", "script_count", "next_data_present",
         "item_list_marker_present", "listing_link_count",
         F.array_join("block_markers", ";").alias("block_markers"), "text_sample")
@@ -141,7 +142,7 @@ from x
 def text_rule_claims(spark: SparkSession, d: str) -> DataFrame:
     """Whole documents against a rule table: first label, all labels, matched words."""
     text = F.col("text")
-    return table(spark, d, "documents").select(
+    return spread(table(spark, d, "documents")).select(
         "doc_id", R.first_label(text, DOCUMENT_RULES).alias("first_label"),
         F.array_join(R.labels(text, DOCUMENT_RULES), ";").alias("labels"),
         R.first_match(text, [("license", (DOCUMENT_RULES[0][1][0],))]).alias("license_text"))

@@ -50,6 +50,15 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows that come from fewer files than there are cores, before CPU-heavy expressions.
+
+    Input of many files already fills the cluster and is returned unchanged, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
+
+
 def small_side(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     """Settle an aggregate once and broadcast it only if its counted size is within bounds.
 
