@@ -140,7 +140,7 @@ def engine_parts(engine: Column) -> Column:
                          for tail in ("", ".value", ".name")])
             for k in ENGINE_KEYS
         ]
-        return F.array(*fields, F.try_variant_get(entry, "$", "string"))
+        return F.array(*fields, get_text(entry, "$"))
 
     flat = F.flatten(F.transform(entries, texts))
     return F.coalesce(F.filter(flat, lambda t: t.isNotNull() & (F.trim(t) != "")),
