@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import time
 
 from marketlens.plans.catalog import QUERIES
@@ -32,6 +33,8 @@ def main() -> None:
         start = time.time()
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - start, 3)
+        if os.environ.get("BENCH_VERBOSE"):
+            print(name, times[name], file=sys.stderr, flush=True)
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec",
         "queries": times, "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf")}))

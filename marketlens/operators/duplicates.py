@@ -116,7 +116,9 @@ def profile_pairs(found: DataFrame) -> DataFrame:
     medium = (km <= MEDIUM_TOLERANCE[0]) & (price <= MEDIUM_TOLERANCE[1])
     within = F.when(medium, F.array(F.lit("mileage_within_1000_km"), F.lit("price_within_1500_cad"))) \
         .otherwise(F.array(F.lit("mileage_within_3000_km"), F.lit("price_within_3000_cad")))
-    banded = near.join(around, on).withColumn("_support", support).where(F.size("_support") > 0).select(
+    # The cheap band test guards the list building, which the planner moves into the join condition.
+    supported = F.when(band & ordered, F.size(support) > 0)
+    banded = near.join(around, on).where(supported).withColumn("_support", support).select(
         *_pair_columns(),
         F.when(medium, F.lit(MEDIUM[0])).otherwise(F.lit(LOW[0])).alias("confidence"),
         F.when(medium, F.lit(MEDIUM[1])).otherwise(F.lit(LOW[1])).alias("confidence_score"),

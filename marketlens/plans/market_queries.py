@@ -203,7 +203,7 @@ def identities(spark: SparkSession, d: str) -> DataFrame:
 
 def matched(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     found = settle(identities(spark, d))
-    return D.profile_pairs(D.profiles(found)), found
+    return D.profile_pairs(settle(D.profiles(found))), found
 
 
 @query("duplicate_candidates", f"""
