@@ -185,8 +185,9 @@ def anomalies(rows: DataFrame) -> DataFrame:
     out.append(F.when((old >= 1) & (new >= old * 3) & (new - old >= 5),
                       finding("warning", "request_attempt_surge", old, new, "3.0")))
     old, new = b["quality_warning_rows"], c("quality_warning_rows")
-    limit = F.greatest(F.lit(5), old * 2 + 1)
-    out.append(F.when(new >= limit, finding("warning", "quality_warning_growth", old, new, limit)))
+    limit = F.greatest(F.lit(5), F.coalesce(old, F.lit(0)) * 2 + 1)
+    out.append(F.when(b.isNotNull() & (new >= limit),
+                      finding("warning", "quality_warning_growth", old, new, limit)))
     found = F.filter(F.array(*out), lambda x: x.isNotNull())
     return rows.select(*PAIR, *(["run_id"] if "run_id" in rows.columns else []), F.explode(found).alias("f")) \
         .select("*", "f.*").drop("f")

@@ -91,9 +91,10 @@ from plan left join day using (vehicle_key, source)
 """)
 def health_rows(spark: SparkSession, d: str) -> DataFrame:
     events = table(spark, d, "events")
-    plan = events.select("event_type").where(F.col("event_type").isin("click", "view", "error")).distinct() \
-        .select(F.lit("market").alias("vehicle_key"), F.col("event_type").alias("source")) \
-        .unionByName(events.limit(1).select(F.lit("market").alias("vehicle_key"), F.lit("unseen").alias("source")))
+    sources = F.when(F.col("event_type") == "click", F.array(F.lit("click"), F.lit("unseen"))) \
+        .otherwise(F.array("event_type"))
+    plan = events.where(F.col("event_type").isin("click", "view", "error")).select("event_type").distinct() \
+        .select(F.lit("market").alias("vehicle_key"), F.explode(sources).alias("source"))
     rows = H.health_rows(plan, statuses(spark, d).where("run_id = '2024-01-15'"), F.lit("2024-01-15"))
     return rows.select("source", "healthy", "current_run", "execution_status", *H.COUNTS,
                        F.array_join("failure_reasons", ";").alias("failure_reasons"))

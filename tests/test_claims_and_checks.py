@@ -96,6 +96,8 @@ def test_health_anomaly_scenarios(spark):
     assert got["b", "2"] == {("critical", "source_unhealthy"), ("critical", "pagination_incomplete"),
                              ("critical", "failed_source_pages"), ("info", "source_has_no_baseline")}
     assert ("a", "1") not in got
+    first = spark.createDataFrame([("v", "a", "1", True, "success", 50, 50, 0, True, 0, 3, 90)], fields)
+    assert H.anomalies(H.with_previous_run(first, ["run_id"])).count() == 0
 
 
 def test_archives_and_paths(spark):
