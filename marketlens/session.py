@@ -26,26 +26,30 @@ def build_session(app: str = "marketlens", master: str | None = None, **extra: s
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """Folder the cluster names in spark.checkpoint.dir; a scratch folder only on local masters."""
+def shared_folder(spark: SparkSession) -> str:
+    """Folder the cluster names in spark.checkpoint.dir; a folder of its own only on a local master."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None and spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="marketlens-")
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = f"{tempfile.gettempdir()}/marketlens-{uuid.uuid4().hex}"
         spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder.rstrip("/")
+
+
+def shared_path(spark: SparkSession, kind: str) -> str:
+    """A path in the shared folder that nothing has been written to."""
+    return f"{shared_folder(spark)}/{kind}/{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame) -> DataFrame:
     """Write a frame that is read more than once as a table in the shared folder and read it back.
 
     Expensive parsing runs once, later reads prune columns, the planner sees real sizes, and a lost
-    executor re-reads files instead of recomputing. Without a shared folder the frame is unchanged.
+    executor re-reads files instead of recomputing.
     """
     spark = df.sparkSession
-    folder = shared_folder(spark)
-    if folder is None:
-        return df
-    path = f"{folder.rstrip('/')}/settled/{uuid.uuid4().hex}"
+    path = shared_path(spark, "settled")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -62,10 +66,8 @@ def spread(df: DataFrame) -> DataFrame:
 def small_side(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     """Settle an aggregate once and broadcast it only if its counted size is within bounds.
 
-    Above ``max_rows`` (or with no shared folder) the frame is returned without a hint and the join
+    Above ``max_rows`` the frame is returned without a hint and the join
     stays a shuffle join under AQE skew handling.
     """
-    if shared_folder(df.sparkSession) is None:
-        return df
     kept = settle(df)
     return F.broadcast(kept) if kept.count() <= max_rows else kept
