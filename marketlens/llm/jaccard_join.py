@@ -34,7 +34,7 @@ FREQUENT_SHARE = 1 / 2000  # a token in more than this share of documents is cos
 FREQUENT_LEAST = 20
 FEW = 10                   # up to so many documents, a key gives all pairs
 BLOCK = 1500               # documents of a block where a key is compared in blocks
-BINS = 64                  # of the token histogram that bounds the difference of two sets from below
+BINS = 256                 # of the token histogram that bounds the difference of two sets from below
 CANDIDATE_COST = 64.0
 
 
@@ -153,7 +153,7 @@ def frequent_tokens(texts: DataFrame, shingle: int) -> np.ndarray:
 
 
 def _histogram(tokens: np.ndarray) -> bytes:
-    return np.minimum(np.bincount((tokens >> np.uint64(58)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
+    return np.minimum(np.bincount((tokens >> np.uint64(56)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
 
 
 def _index(percent: int, shingle: int, parts: int, frequent: np.ndarray):
@@ -360,17 +360,29 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         _group, "a long, b long, code long").union(
         index.where("part = -1").select("keys", "docs").mapInArrow(_unpack, "a long, b long, code long")))
     sized = rows.where("n > 0 and doc is not null")
-    links = settle(_verified(found.where("code is null").select("a", "b").distinct(), sized, texts, percent, shingle))
-    copies = sized.groupBy("digest").agg(F.min("doc").alias("b"))
-    edges = sized.join(copies, "digest").where("doc <> b").select(F.col("doc").alias("a"), "b").distinct().union(links)
-    merged = components(edges)
-
-    crowd = found.where("code is not null").select("a", "code").distinct()
+    copies = sized.groupBy("digest").agg(F.min("doc").alias("first"))
+    classes = settle(sized.join(copies, "digest").groupBy("doc").agg(
+        F.min("first").alias("first"), (F.min("digest") == F.max("digest")).alias("single")))
+    moved = classes.where("single and doc <> first").select("doc", "first")
+
+    def of_classes(members: DataFrame, *columns: str) -> DataFrame:
+        """Documents replaced by the first of their class; an id with several texts stands for itself."""
+        for c in columns:
+            members = members.join(moved.select(F.col("doc").alias(c), F.col("first").alias("to")), c, "left").withColumn(
+                c, F.coalesce("to", c)).drop("to")
+        return members
+
+    pairs = settle(of_classes(found.where("code is null").select("a", "b").distinct(), "a", "b").where("a <> b").select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    links = settle(_verified(pairs, sized, texts, percent, shingle))
+    edges = sized.join(copies, "digest").where("doc <> first").select(F.col("doc").alias("a"), F.col("first").alias("b")).distinct()
+    merged = components(edges.union(links))
+
+    crowd = of_classes(found.where("code is not null").select("a", "code").distinct(), "a").distinct()
     crowd = settle(crowd.join(merged.withColumnRenamed("node", "a"), "a", "left").withColumn(
         "component", F.coalesce("component", "a")))
     mixed = crowd.groupBy("code").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("code")
-    open_pairs = settle(_blocks(crowd.join(mixed, "code", "left_semi"), sized, percent).join(
-        found.where("code is null").select("a", "b").distinct(), ["a", "b"], "left_anti"))
+    open_pairs = settle(_blocks(crowd.join(mixed, "code", "left_semi"), sized, percent).join(pairs, ["a", "b"], "left_anti"))
     more = settle(_verified(open_pairs, sized, texts, percent, shingle))
     if not more.isEmpty():
         merged = components(merged.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
