@@ -40,8 +40,8 @@ def features(text: str) -> np.ndarray:
 def codewords(n: int) -> np.ndarray:
     """A row of -1 and 1 per class: all two-way splits up to five classes, else seeded random ones."""
     if n <= 5:
-        bits = [c for c in itertools.product((1, -1), repeat=n) if c[0] == 1 and -1 in c]
-        return np.array(bits, float).T.reshape(n, -1)
+        bits = [c for c in itertools.product((1, -1), repeat=n) if c[:1] == (1,) and -1 in c]
+        return np.array(bits, float).reshape(len(bits), n).T
     rng = np.random.default_rng(n)
     while True:
         code = rng.choice([-1.0, 1.0], (n, 10 * math.ceil(math.log2(n))))

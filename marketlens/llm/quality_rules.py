@@ -122,7 +122,7 @@ def references(docs: DataFrame, text_column: str = "text", lang_column: str = "l
     for r in rows.mapInArrow(count, "lang string, at long, n long").groupBy("lang", "at").agg(F.sum("n").alias("n")).toLocalIterator():
         counted.setdefault(r["lang"], np.zeros(len(CLASSES) + len(nominated) + 1))[r["at"]] = r["n"]
     langs = sorted(counted)
-    every = np.array([counted[x] for x in langs]).reshape(len(langs), -1)
+    every = np.array([counted[x] for x in langs]).reshape(len(langs), len(CLASSES) + len(nominated) + 1)
     chars, words = every[:, :len(CLASSES)], every[:, len(CLASSES):]
     common = (words[:, :-1] >= share * np.maximum(1, words.sum(1, keepdims=True))).any(0) if langs else np.zeros(0, bool)
     kept = np.concatenate([words[:, :-1][:, common], words.sum(1, keepdims=True) - words[:, :-1][:, common].sum(1, keepdims=True)], 1)
