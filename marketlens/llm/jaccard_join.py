@@ -351,7 +351,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     its texts does. Equal sets always link. An empty table gives an empty result.
     """
     texts = docs.select(F.col(id_column).cast("long").alias("doc"), F.col(text_column).alias("text"))
-    parts = 4 * max(16, texts.rdd.getNumPartitions())
+    parts = max(64, texts.rdd.getNumPartitions())
     frequent = frequent_tokens(texts.select("text"), shingle)
     index = settle(texts.mapInArrow(_index(percent, shingle, parts, frequent), INDEX_SCHEMA))
     rows = index.where("part is null").select("doc", "n", "digest", F.col("bins").alias("x"))

@@ -27,7 +27,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 PIECES = 1 << 24
-CACHE, PAIRS = 600_000, 600_000  # words and pairs that a task remembers; only time depends on them
+CACHE, PAIRS = 200_000, 200_000  # words and pairs that a task remembers; only time depends on them
 
 
 class Coder:

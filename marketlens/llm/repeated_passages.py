@@ -342,7 +342,7 @@ def strip_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     they share; a null id is kept as null. An empty table gives an empty result.
     """
     texts = docs.select(F.col(id_column).cast("long").alias("doc"), F.col(text_column).alias("text"))
-    parts = 4 * max(16, texts.rdd.getNumPartitions())
+    parts = max(64, texts.rdd.getNumPartitions())
     bundles = settle(texts.mapInArrow(_bundle, "docs array<long>, offsets binary, data binary").withColumn(
         "bundle", F.monotonically_increasing_id()))
     sent = bundles.select("bundle", "offsets", "data").mapInArrow(_first_round(width, parts), SENT)

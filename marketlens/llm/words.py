@@ -1,6 +1,6 @@
 """Words of whole texts as arrays: bounds, 64-bit word identities and identities of word runs.
 
-Texts are handled in slices of a few megabytes taken from the Arrow buffers, so a batch never needs
+Texts are handled in slices of about a megabyte taken from the Arrow buffers, so a batch never needs
 more than a small multiple of its own size, and one long text is hashed in blocks cut between words.
 """
 
@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 5)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
