@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm.links import components
-from marketlens.llm.words import bounds, mix, run_ids, shingle_sets, slices, word_ids
+from marketlens.llm.words import bounds, mix, run_ids, shingle_sets, slices, tidy, word_ids
 from marketlens.session import settle
 
 BAND_RATIO = 1.6
@@ -145,7 +145,7 @@ def frequent_tokens(texts: DataFrame, shingle: int) -> np.ndarray:
                 pa.array([None, *u.view(np.int64).tolist()], pa.int64()),
                 pa.array([batch.num_rows, *c.astype(np.int64).tolist()], pa.int64())], ["token", "n"])
 
-    counted = settle(texts.mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")))
+    counted = settle(texts.mapInArrow(tidy(count), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")))
     documents = counted.where("token is null").agg(F.sum("n")).first()[0] or 0
     least = max(FREQUENT_LEAST, documents * FREQUENT_SHARE)
     rows = counted.where("token is not null").where(F.col("n") >= F.lit(float(least))).select("token").toArrow()
@@ -311,8 +311,8 @@ def _verified(pairs: DataFrame, rows: DataFrame, texts: DataFrame, percent: int,
 
     close = settle(with_sides(pairs, rows, "n", "x").mapInArrow(_bin_filter(percent), "a long, b long"))
     wanted = close.select(F.col("a").alias("doc")).union(close.select("b")).distinct()
-    sets = settle(texts.join(wanted, "doc", "left_semi").select("doc", "text").mapInArrow(_sets(shingle), "doc long, x binary"))
-    return with_sides(close, sets, "x").mapInArrow(_overlap(percent), "a long, b long")
+    sets = settle(texts.join(wanted, "doc", "left_semi").select("doc", "text").mapInArrow(tidy(_sets(shingle)), "doc long, x binary"))
+    return with_sides(close, sets, "x").mapInArrow(tidy(_overlap(percent)), "a long, b long")
 
 
 def _blocks(members: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
@@ -353,7 +353,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     texts = docs.select(F.col(id_column).cast("long").alias("doc"), F.col(text_column).alias("text"))
     parts = max(64, texts.rdd.getNumPartitions())
     frequent = frequent_tokens(texts.select("text"), shingle)
-    index = settle(texts.mapInArrow(_index(percent, shingle, parts, frequent), INDEX_SCHEMA))
+    index = settle(texts.mapInArrow(tidy(_index(percent, shingle, parts, frequent)), INDEX_SCHEMA))
     rows = index.where("part is null").select("doc", "n", "digest", F.col("bins").alias("x"))
 
     found = settle(index.where("part >= 0").select("part", "keys", "docs", "crowded").groupBy("part").applyInArrow(

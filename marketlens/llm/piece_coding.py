@@ -16,18 +16,22 @@ from __future__ import annotations
 
 import functools
 import hashlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.llm.words import tidy
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 PIECES = 1 << 24
-CACHE, PAIRS = 200_000, 200_000  # words and pairs that a task remembers; only time depends on them
+CACHE, PAIRS = 400_000, 200_000  # words and pairs that a task remembers; only time depends on them
 
 
 class Coder:
@@ -54,7 +58,7 @@ class Coder:
         self.beside = {t[k:k + 2] for t in self.score for k in range(len(t) - 1)}
         self.crossing = any(SPACE in t[1:] and t.strip(SPACE) for t in self.score)
         self.pairs: dict[int, bool] = {}
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.cache: dict[str, bytes] = {}
 
     @staticmethod
     def _model_type(proto: bytes) -> int:
@@ -142,17 +146,14 @@ class Coder:
             open_ends.add(max(base, came[top - base]))
         return open_ends.pop()
 
-    def _pieces(self, stretch: str) -> tuple[int, ...]:
+    def _pieces(self, stretch: str) -> bytes:
         """Ids of a stretch, cut where no piece has the two characters side by side, so that all paths meet."""
         ids = self.cache.get(stretch)
         if ids is None:
             cuts = [0, *(k for k in range(1, len(stretch)) if stretch[k - 1:k + 1] not in self.beside), len(stretch)]
             if len(cuts) > 2:
-                found: list[int] = []
-                for a, b in zip(cuts, cuts[1:]):
-                    found.extend(self._pieces(stretch[a:b]))
-                return tuple(found)
-            ids = tuple(self._spell(self.viterbi(stretch)))
+                return b"".join(self._pieces(stretch[a:b]) for a, b in zip(cuts, cuts[1:]))
+            ids = array("i", self._spell(self.viterbi(stretch))).tobytes()
             if len(stretch) <= 64:
                 if len(self.cache) >= CACHE:
                     self.cache.clear()
@@ -168,29 +169,28 @@ class Coder:
             else:
                 yield self.unknown
 
-    def encode(self, text: str | None) -> list[int]:
-        """Ids of a text; null and empty have none."""
+    def packed(self, text: str | None) -> bytes:
+        """Ids of a text as 32-bit integers; null and empty have none."""
         if not text:
-            return []
+            return b""
         whole = (SPACE + text).replace(" ", SPACE)
         if self.crossing:
-            return list(self._pieces(whole))
-        return self._join(whole.split(SPACE)[1:])  # a run of spaces leaves empty parts, joined to the next one
-
-    def _join(self, parts: list[str]) -> list[int]:
-        ids: list[int] = []
-        pending, last = "", len(parts) - 1
-        cache = self.cache
+            return self._pieces(whole)
+        out: list[bytes] = []
+        parts = whole.split(SPACE)[1:]  # a run of spaces leaves empty parts, joined to the next one
+        pending, last, get = "", len(parts) - 1, self.cache.get
         for k, part in enumerate(parts):
             pending += SPACE
             if part or k == last:
                 stretch = pending + part
-                got = cache.get(stretch)
-                ids.extend(got if got is not None else self._pieces(stretch))
+                out.append(get(stretch) or self._pieces(stretch))
                 pending = ""
-        return ids
+        return b"".join(out)
+
+    def encode(self, text: str | None) -> list[int]:
+        return array("i", self.packed(text)).tolist()
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: Iterable[int]) -> str:
         """The text of ids; runs of byte pieces are read as UTF-8."""
         out = b"".join(map(self.raw.__getitem__, ids))
         text = out.decode(errors="replace").replace(SPACE, " ")
@@ -214,17 +214,17 @@ def encode(docs: DataFrame, model: str = MODEL, id_column: str = "doc_id", text_
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 texts = batch.column(1).slice(at, 64).to_pylist()
-                ids = [c.encode(t) for t in texts]
-                ok = [c.decode(i) == (t or "") for i, t in zip(ids, texts)]
-                column = pa.array(ids, pa.list_(pa.int32()))
-                flat, cut = column.values.to_numpy(), column.offsets.to_numpy()
-                digests = [hashlib.sha256(flat[a:b].astype("<i4").tobytes()).hexdigest() for a, b in zip(cut, cut[1:])]
+                blobs = [c.packed(t) for t in texts]
+                ok = [c.decode(array("i", i)) == (t or "") for i, t in zip(blobs, texts)]
+                cut = np.concatenate([[0], np.cumsum([len(i) // 4 for i in blobs])]).astype(np.int32)
+                column = pa.ListArray.from_arrays(pa.array(cut), pa.array(np.frombuffer(b"".join(blobs), "<i4")))
+                digests = [hashlib.sha256(i).hexdigest() for i in blobs]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, 64), column, pa.array(ok, pa.bool_()), pa.array(digests, pa.string())],
                     ["doc_id", "ids", "round_trip", "ids_sha256"])
 
     return docs.select(F.col(id_column).cast("long"), F.col(text_column)).mapInArrow(
-        run, "doc_id long, ids array<int>, round_trip boolean, ids_sha256 string")
+        tidy(run), "doc_id long, ids array<int>, round_trip boolean, ids_sha256 string")
 
 
 def decode(encoded: DataFrame, model: str = MODEL, id_column: str = "doc_id", ids_column: str = "ids") -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.words import bounds, run_ids, slices, word_ids
+from marketlens.llm.words import bounds, run_ids, slices, tidy, word_ids
 from marketlens.session import settle
 
 # Fixed values of the base rules.
@@ -101,7 +101,7 @@ def references(docs: DataFrame, text_column: str = "text", lang_column: str = "l
                 ok = n >= max(1, share * n.sum())
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * int(ok.sum()), pa.string()), pa.array(word[ok].view(np.int64))], ["lang", "word"])
 
-    named = settle(rows.mapInArrow(nominate, "lang string, word long").distinct())
+    named = settle(rows.mapInArrow(tidy(nominate), "lang string, word long").distinct())
     # A word may be nominated by few batches only; words of one batch in a hundred thousand stay few.
     nominated = np.sort(np.array([r["word"] for r in named.select("word").distinct().toLocalIterator()], np.int64).view(np.uint64))
 
@@ -119,7 +119,7 @@ def references(docs: DataFrame, text_column: str = "text", lang_column: str = "l
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(both), pa.string()), pa.array(np.arange(len(both))), pa.array(both)], ["lang", "at", "n"])
 
     counted: dict[str, np.ndarray] = {}
-    for r in rows.mapInArrow(count, "lang string, at long, n long").groupBy("lang", "at").agg(F.sum("n").alias("n")).toLocalIterator():
+    for r in rows.mapInArrow(tidy(count), "lang string, at long, n long").groupBy("lang", "at").agg(F.sum("n").alias("n")).toLocalIterator():
         counted.setdefault(r["lang"], np.zeros(len(CLASSES) + len(nominated) + 1))[r["at"]] = r["n"]
     langs = sorted(counted)
     every = np.array([counted[x] for x in langs]).reshape(len(langs), len(CLASSES) + len(nominated) + 1)
@@ -179,7 +179,7 @@ def judge(docs: DataFrame, reference: References, text_column: str = "text", cha
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, end - row), quality], ["doc", "quality"])
 
     kind = inner.schema["doc"].dataType.simpleString()
-    return inner.mapInArrow(run, f"doc {kind}, quality struct<{SCHEMA.replace(' long', ':long').replace(' boolean', ':boolean').replace(' double', ':double')}>")
+    return inner.mapInArrow(tidy(run), f"doc {kind}, quality struct<{SCHEMA.replace(' long', ':long').replace(' boolean', ':boolean').replace(' double', ':double')}>")
 
 
 def _measure(data: np.ndarray, offsets: np.ndarray, reference: References, limits: tuple[float, float]) -> list[pa.Array]:

@@ -6,7 +6,9 @@ more than a small multiple of its own size, and one long text is hashed in block
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -133,3 +135,15 @@ def shingle_sets(texts: pa.Array, k: int, lower: bool = True) -> Iterator[tuple[
             else:
                 sets.append(run_ids(ids[a:b], int(b - a)) if b > a else runs[:0])
         yield row, sets
+
+
+def tidy(run: Callable) -> Callable:
+    """A batch function that gives memory back to the system when its task ends, as workers are used again."""
+    @functools.wraps(run)
+    def tidied(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+    return tidied
