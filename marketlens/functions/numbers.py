@@ -14,6 +14,18 @@ def half_even(c: Column, scale: int = 0) -> Column:
     return F.rint(c * 10**scale) / 10**scale
 
 
+def tenths(c: Column) -> Column:
+    """Round a value of 0 to 1000 to one decimal by its exact binary value (6.65 is above the tie, 1.15 below).
+
+    Twenty times the value is compared with the odd number of the tie in two exact parts.
+    """
+    below = F.floor(c * 10)
+    high = F.floor(c * F.lit(float(1 << 30))) / F.lit(float(1 << 30))
+    beyond = (high * 20 - (below * 2 + 1)) + (c - high) * 20
+    up = (beyond > 0) | ((beyond == 0) & (below % 2 == 1))
+    return F.when((c >= 0) & (c <= 1000), (below + up.cast("int")) / F.lit(10.0)).otherwise(half_even(c, 1))
+
+
 def half_even_long(c: Column) -> Column:
     return F.bround(c, 0).cast("bigint")
 

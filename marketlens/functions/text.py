@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from marketlens.functions.numbers import half_even
+from marketlens.functions.numbers import tenths
 
 # Tokens that mean "unknown".
 NULL_TOKENS = ("", "unknown", "n/a", "na", "none", "null", "unavailable")
@@ -54,7 +54,7 @@ def finite_double(c: Column) -> Column:
 def engine_text(c: Column) -> Column:
     text = F.coalesce(strip(c.cast("string")), F.lit(""))
     number = F.regexp_replace(text, "[^0-9.]", "").try_cast("double")
-    litres = F.concat(half_even(number / 1000, 1).cast("string"), F.lit("L"))
+    litres = F.concat(tenths(number / 1000).cast("string"), F.lit("L"))
     return (
         F.when(text.contains("6,700") | text.contains("6700"), F.lit("6.7L"))
         .when(number >= 100, litres)

@@ -54,7 +54,7 @@ def fetch_log(spark: SparkSession, d: str) -> DataFrame:
     n = F.length("text") % 60
     return c.select(
         F.lit("run-1").alias("run_id"), F.col("conv_id").alias("query_id"), F.col("turn").alias("page"),
-        "role", F.expr("lower(substring(text, 1, 2))").alias("listings"), n.cast("bigint").alias("listing_count"),
+        "role", F.lower("text").alias("listings"), n.cast("bigint").alias("listing_count"),
         (F.col("turn") * 50).alias("offset"),
         F.when(F.col("conv_id") % 2 == 0, F.length("text") % 300).cast("bigint").alias("reported_total"),
         F.when(F.length("text") % 11 == 0, F.lit("failed")).otherwise(F.lit("success")).alias("outcome"),
@@ -63,7 +63,7 @@ def fetch_log(spark: SparkSession, d: str) -> DataFrame:
 
 LOG_SQL = """
 fl as (
-  select conv_id as query_id, turn as page, role, lower(text[1:2]) as listings, length(text) % 60 as listing_count,
+  select conv_id as query_id, turn as page, role, lower(text) as listings, length(text) % 60 as listing_count,
          turn * 50 as ofs, case when conv_id % 2 = 0 then length(text) % 300 end as reported_total,
          length(text) % 11 = 0 as failed, length(text) % 3 + 1 as attempts from conversations),
 lg as (

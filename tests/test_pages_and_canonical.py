@@ -184,3 +184,10 @@ def test_sinks_and_inventory(spark, tmp_path):
     listed = {r.name: r for r in FS.file_inventory(spark, str(tmp_path), digest_up_to=20).collect()}
     assert listed["lines.jsonl"].size_bytes == 22 and listed["lines.jsonl"].sha256 is None
     assert len(listed["one.json"].sha256) == 64
+
+
+def test_engine_text_rounds_the_binary_value(spark):
+    from marketlens.functions.text import engine_text
+    values = [6650, 1150, 1250, 2450, 3550, 100, 995, 6750, 5049, 999999]
+    rows = spark.createDataFrame([(v, str(v)) for v in values], "v long, c string").withColumn("e", engine_text(F.col("c"))).collect()
+    assert all(r.e == f"{round(r.v / 1000, 1)}L" for r in rows), rows
