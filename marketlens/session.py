@@ -30,7 +30,7 @@ def shared_folder(spark: SparkSession) -> str:
     """Folder the cluster names in spark.checkpoint.dir; a folder of its own only on a local master."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = f"{tempfile.gettempdir()}/marketlens-{uuid.uuid4().hex}"
         spark.conf.set("spark.checkpoint.dir", folder)
