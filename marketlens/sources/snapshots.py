@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from marketlens.functions.payload import strict_json
 from marketlens.functions.text import codes_in_order
+from marketlens.session import small_side
 
 OVERFLOW = "_overflow"
 # Columns a snapshot must have, and all columns it may have.
@@ -27,17 +28,42 @@ def _strings(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+def header_lines(spark: SparkSession, path: str) -> DataFrame:
+    """First line of each file, found at the file head; no file is read on the driver."""
+    text = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_n"))
+    return text.where("_at = 0").groupBy("file").agg(F.min_by("value", "_n").alias("header"))
+
+
+def header_names(header: Column) -> Column:
+    """Column names of a header line, without byte-order mark, quotes and line end."""
+    return F.transform(F.split(F.regexp_replace(F.rtrim(header), "^﻿", ""), ","), lambda c: F.btrim(c, F.lit('"\r ')))
+
+
 def read_snapshots(spark: SparkSession, path: str, columns: Sequence[str] = SNAPSHOT_COLUMNS) -> DataFrame:
-    """CSV snapshots with a header, all columns text, plus ``malformed`` and ``file``.
+    """CSV snapshots with a header each, all columns text, plus ``malformed`` and ``file``.
 
-    One overflow column beyond the header catches overlong rows, the only malformed ones; short
-    rows keep NULLs and a byte-order mark on the header is dropped.
+    Columns go by the names in the header of the file: order does not matter, further columns are left
+    out, absent ones are NULL. Rows with a filled cell beyond their header are the only malformed ones;
+    short rows keep NULLs. Only the widest header's width reaches the driver.
     """
-    raw = spark.read.schema(_strings([*columns, OVERFLOW])) \
-        .options(header="true", enforceSchema="true", **CSV_OPTIONS).csv(path)
-    return raw.select(
-        F.struct(*columns).alias("row"), F.col(OVERFLOW).isNotNull().alias("malformed"),
-        F.col("_metadata.file_path").alias("file"))
+    headers = small_side(header_lines(spark, path).select("file", header_names(F.col("header")).alias("_names")))
+    width = headers.agg(F.max(F.size("_names"))).first()[0] or len(columns)
+    cells = [f"_{i}" for i in range(width)]
+    raw = spark.read.schema(_strings([*cells, OVERFLOW])).options(
+        header="true", enforceSchema="true", **CSV_OPTIONS).csv(path)
+    rows = raw.select(F.array(*cells, OVERFLOW).alias("_cells"), F.col("_metadata.file_path").alias("file"))
+    named = rows.join(headers, "file")  # rows keep their order where the headers are few enough to be sent
+
+    def cell(name: str) -> Column:
+        at = F.array_position("_names", F.lit(name)).cast("int")
+        return F.try_element_at("_cells", F.nullif(at, F.lit(0)))
+
+    beyond = F.slice("_cells", F.size("_names") + 1, F.lit(width + 1))
+    return named.select(
+        F.struct(*[cell(c).alias(c) for c in columns]).alias("row"),
+        F.exists(beyond, lambda c: c.isNotNull()).alias("malformed"), "file")
 
 
 def parse_lines(lines: DataFrame, line: str, columns: Sequence[str]) -> DataFrame:
@@ -52,9 +78,7 @@ def parse_lines(lines: DataFrame, line: str, columns: Sequence[str]) -> DataFram
 
 def required_columns(headers: DataFrame, header: str, required: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
     """Missing required columns of each header line (sorted) and whether the schema is valid."""
-    found = F.transform(
-        F.split(F.regexp_replace(F.rtrim(F.col(header)), "^﻿", ""), ","),
-        lambda c: F.btrim(c, F.lit('"\r ')))
+    found = header_names(F.col(header))
     missing = F.array_sort(F.array_except(F.array(*map(F.lit, required)), found))
     return headers.withColumn("missing_columns", missing) \
         .withColumn("schema_valid", F.size("missing_columns") == 0)
@@ -66,10 +90,7 @@ def validate_snapshots(spark: SparkSession, path: str, columns: Sequence[str] =
     Headers come from the first line of each file (position 0 of a split starting at the file
     head), row counts from one grouped scan; no file is read on the driver.
     """
-    text = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_n"))
-    headers = text.where("_at = 0").groupBy("file").agg(F.min_by("value", "_n").alias("header"))
+    headers = header_lines(spark, path)
     counts = read_snapshots(spark, path, columns).groupBy("file").agg(F.count("*").alias("row_count"))
     return required_columns(headers, "header").join(counts, "file", "left") \
         .select("file", "schema_valid", F.coalesce("row_count", F.lit(0)).alias("row_count"), "missing_columns")

@@ -49,6 +49,8 @@ def apply_batch(batch: DataFrame, batch_id: int, folder: str) -> None:
     runs = rows.select(*SOURCE, "run_id", "run_ts").distinct()
     order = sorted({(r.run_ts, r.run_id) for r in runs.select("run_ts", "run_id").distinct().toLocalIterator()})
     state = state_at(spark, folder, batch_id - 1)
+    if not order:  # nothing came: the state goes on as this version
+        state.write.mode("overwrite").parquet(f"{folder}/state/version={batch_id}")
     for step, (run_ts, run_id) in enumerate(order):
         at = (F.col("run_id") == run_id) & (F.col("run_ts") == F.lit(run_ts))
         wave = runs.where(at)

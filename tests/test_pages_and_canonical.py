@@ -191,3 +191,40 @@ def test_engine_text_rounds_the_binary_value(spark):
     values = [6650, 1150, 1250, 2450, 3550, 100, 995, 6750, 5049, 999999]
     rows = spark.createDataFrame([(v, str(v)) for v in values], "v long, c string").withColumn("e", engine_text(F.col("c"))).collect()
     assert all(r.e == f"{round(r.v / 1000, 1)}L" for r in rows), rows
+
+
+def test_vin_claims_of_any_shape(spark):
+    vin = "1FTAAAAAAAAAAAAA1"
+    deep: object = {"vin": vin}
+    for _ in range(40):
+        deep = [{"a": deep}]
+    payloads = [
+        json.dumps({"vin": {"vin": vin}}), json.dumps({"vin": [vin, None, 1.5, {"x": 1}]}), json.dumps({"description": "d" * 50_000, "VIN": vin}),
+        '{"vin": "\\u0031FTAAAAAAAAAAAAA1"}', json.dumps(deep), '{"vin": "\\ud800"}', "no json", None, json.dumps({"vin": 12})]
+    df = spark.createDataFrame(list(enumerate(payloads)), "i int, p string")
+    got = [tuple(r.e)[:2] for r in df.select("i", vin_evidence(F.col("p")).alias("e")).orderBy("i").collect()]
+    valid, invalid, none = "source_reported_format_valid_unverified", "source_reported_invalid_format_unverified", "not_reported"
+    assert got == [(None, none), (vin, valid), (vin, valid), (vin, valid), (vin, valid), (None, invalid), (None, none), (None, none), (None, invalid)]
+
+
+def test_structured_data_of_any_depth(spark):
+    deep: object = {"@type": "Car", "name": "deep"}
+    for _ in range(12):
+        deep = [{"@type": "WebPage", "@graph": [deep, {"@type": "Person"}]}]
+    html = ld(deep) + ld({"@type": "ItemList", "itemListElement": [{"item": None}, {"item": {"name": "n"}}]}) + ld("[1,]") + ld('{"a": NaN}')
+    pages = E.structured_payload(spark.createDataFrame([(1, html), (2, ""), (3, None)], "id int, html string"))
+    rows = {r.id: r for r in pages.select("id", F.transform("listings", lambda v: F.to_json(v)).alias("x"), "page_errors").collect()}
+    assert [json.loads(x) for x in rows[1].x] == [{"@type": "Car", "name": "deep"}, None, {"name": "n"}]
+    assert rows[1].page_errors == ["invalid_json_ld_script:2", "invalid_json_ld_script:3"]
+    assert rows[2].x == [] and rows[2].page_errors == [] and not rows[3].x
+    assert E.explode_listings(pages).count() == 3
+
+
+def test_csv_columns_go_by_header_name(spark, tmp_path):
+    cols = ["listing_id", "url", "mileage"]
+    (tmp_path / "a.csv").write_text("mileage,listing_id,url\n5,A1,http://x\n7,A2,http://y,more\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text("\ufefflisting_id,more,url,mileage\nB1,m,http://z,9\nB2\n", encoding="utf-8")
+    (tmp_path / "c.csv").write_text("listing_id,url\nC1,http://c\nC2,http://c,1\n", encoding="utf-8")
+    rows = {r.row.listing_id: (r.row.url, r.row.mileage, r.malformed) for r in SN.read_snapshots(spark, str(tmp_path), cols).collect()}
+    assert rows == {"A1": ("http://x", "5", False), "A2": ("http://y", "7", True), "B1": ("http://z", "9", False),
+                    "B2": (None, None, False), "C1": ("http://c", None, False), "C2": ("http://c", None, True)}
