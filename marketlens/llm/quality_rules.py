@@ -3,8 +3,9 @@
 A document's shares of character classes and of common words are compared with those of each language
 (all documents labelled with it) by Jensen-Shannon distance; what is far from every language is rejected.
 Both comparisons apply only from a least length on, since short texts have ragged histograms. Common
-words are those above a share of a language's words: a word that is frequent in a language is frequent in
-at least one batch of it, so batches nominate and a second pass counts exactly.
+words are those above a share of a language's words. Batches nominate words above half that share; where
+a word is not nominated, it has less than half the share, so the nominations bound its count from above.
+Words whose bound reaches the share are at most 2 / share, and a second pass counts them exactly.
 """
 
 from __future__ import annotations
@@ -83,7 +84,7 @@ def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 def references(docs: DataFrame, text_column: str = "text", lang_column: str = "lang", share: float = COMMON_SHARE) -> References:
     """References of all languages, from all documents with a text and a language.
 
-    What reaches the driver is bounded: at most 1 / share words and the character classes per language.
+    What reaches the driver is bounded: at most 2 / share words and the character classes per language.
     """
     rows = docs.where(F.col(lang_column).isNotNull() & F.col(text_column).isNotNull()).select(F.col(text_column), F.col(lang_column).cast("string"))
 
@@ -98,12 +99,19 @@ def references(docs: DataFrame, text_column: str = "text", lang_column: str = "l
             for lang, data, offsets in by_language(batch):
                 starts, ends, _ = bounds(data, offsets)
                 word, n = np.unique(word_ids(data, starts, ends, True), return_counts=True)
-                ok = n >= max(1, share * n.sum())
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * int(ok.sum()), pa.string()), pa.array(word[ok].view(np.int64))], ["lang", "word"])
-
-    named = settle(rows.mapInArrow(tidy(nominate), "lang string, word long").distinct())
-    # A word may be nominated by few batches only; words of one batch in a hundred thousand stay few.
-    nominated = np.sort(np.array([r["word"] for r in named.select("word").distinct().toLocalIterator()], np.int64).view(np.uint64))
+                total = int(n.sum())
+                ok = n >= max(1, share / 2 * total)
+                named = int(ok.sum())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * (named + 1), pa.string()), pa.array([*word[ok].view(np.int64).tolist(), None], pa.int64()),
+                     pa.array([*n[ok].tolist(), total], pa.int64()), pa.array([total] * (named + 1), pa.int64())],
+                    ["lang", "word", "n", "among"])
+
+    named = settle(rows.mapInArrow(tidy(nominate), "lang string, word long, n long, among long").groupBy("lang", "word").agg(
+        F.sum("n").alias("n"), F.sum("among").alias("among")))
+    totals = named.where("word is null").select("lang", F.col("n").alias("total"))
+    likely = named.where("word is not null").join(totals, "lang").where(F.col("n") >= F.lit(share / 2) * (F.col("total") + F.col("among")) - F.lit(1e-6))
+    nominated = np.sort(np.array([r["word"] for r in likely.select("word").distinct().toLocalIterator()], np.int64).view(np.uint64))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, list[np.ndarray]] = {}
