@@ -23,6 +23,7 @@ MEDIUM_TOLERANCE = (1000, 1500)
 LOW_TOLERANCE = (3000, 3000)
 HIGH, MEDIUM, LOW = ("high", 0.98), ("medium", 0.78), ("low", 0.56)
 CELL = 3000
+VIN_REASON = "exact_source_reported_vin_claim_match"
 COMPONENTS = ["year", "make", "model", "trim_tokens", "mileage_km", "price_cad", "dealer", "location"]
 
 
@@ -72,18 +73,34 @@ def _cells(price: Column, mileage: Column) -> list[Column]:
     return [F.floor(price / CELL), F.floor(mileage / CELL)]
 
 
-def profile_pairs(found: DataFrame) -> DataFrame:
-    """Matching profiles of two different sources with confidence and reasons."""
+def _sides(found: DataFrame) -> tuple[DataFrame, DataFrame, Column, Column]:
     left = found.select(*[F.col(c).alias(f"l_{c}") for c in found.columns])
     right = found.select(*[F.col(c).alias(f"r_{c}") for c in found.columns])
-    ordered = F.col("l_source") < F.col("r_source")
-    same_vehicle = F.col("l_vehicle_key") == F.col("r_vehicle_key")
+    return left, right, F.col("l_source") < F.col("r_source"), F.col("l_vehicle_key") == F.col("r_vehicle_key")
+
 
+def profile_pairs(found: DataFrame) -> DataFrame:
+    """Matching profiles of two different sources with confidence and reasons."""
+    left, right, ordered, same_vehicle = _sides(found)
     by_vin = left.join(right, same_vehicle & (F.col("l_vin") == F.col("r_vin")) & ordered).select(
         *_pair_columns(), F.lit(HIGH[0]).alias("confidence"), F.lit(HIGH[1]).alias("confidence_score"),
-        F.array(F.lit("exact_source_reported_vin_claim_match")).alias("reasons"),
+        F.array(F.lit(VIN_REASON)).alias("reasons"),
     )
+    return by_vin.unionByName(band_pairs(found))
 
+
+def vin_matches(found: DataFrame) -> DataFrame:
+    """profile_id and n, the listings of other sources with its identification number, by sums instead of pairs."""
+    named = found.where("vehicle_key is not null and source is not null and vin is not null")
+    own = named.groupBy("vehicle_key", "vin", "source").agg(F.sum("members").alias("own"))
+    every = own.groupBy("vehicle_key", "vin").agg(F.sum("own").alias("every"))
+    counts = own.join(every, ["vehicle_key", "vin"]).where("every > own")
+    return named.join(counts, ["vehicle_key", "vin", "source"]).select("profile_id", (F.col("every") - F.col("own")).alias("n"))
+
+
+def band_pairs(found: DataFrame) -> DataFrame:
+    """Profiles of two sources that match by year, make, model, price and mileage, without a common number."""
+    left, right, ordered, same_vehicle = _sides(found)
     keyed = (F.col("l_year") != 0) & (F.col("l_make") != "") & (F.col("l_model") != "")
     lp, lm = _cells(F.col("l_price_cad"), F.col("l_mileage_km"))
     rp, rm = _cells(F.col("r_price_cad"), F.col("r_mileage_km"))
@@ -124,7 +141,7 @@ def profile_pairs(found: DataFrame) -> DataFrame:
         F.when(medium, F.lit(MEDIUM[1])).otherwise(F.lit(LOW[1])).alias("confidence_score"),
         F.array_sort(F.concat(F.array(F.lit("year_make_model_match")), "_support", within)).alias("reasons"),
     )
-    return by_vin.unionByName(banded)
+    return banded
 
 
 def _pair_columns() -> list[Column]:
@@ -154,16 +171,22 @@ def listing_pairs(pairs: DataFrame, listings: DataFrame) -> DataFrame:
     )
 
 
-def candidate_index(pairs: DataFrame, listings: DataFrame) -> DataFrame:
-    """Candidate count, highest confidence and distinct reasons per listing, without listing pairs."""
+def candidate_index(found: DataFrame, listings: DataFrame) -> DataFrame:
+    """Candidate count, highest confidence and distinct reasons per listing, without listing pairs.
+
+    ``found`` holds the profiles of the listings. Common numbers are counted by sums, so a number that
+    many profiles carry makes no pairs.
+    """
     rating = F.when(F.col("confidence") == "high", 3).when(F.col("confidence") == "medium", 2).otherwise(1)
     both = F.explode(F.array(
         F.struct(F.col("left_profile").alias("profile_id"), F.col("right_members").alias("n")),
         F.struct(F.col("right_profile").alias("profile_id"), F.col("left_members").alias("n")),
     )).alias("s")
-    per_profile = pairs.withColumn("_rating", rating).select(both, "confidence", "_rating", "reasons") \
-        .groupBy("s.profile_id").agg(
-            F.sum("s.n").alias("duplicate_candidate_count"),
+    banded = band_pairs(found).select(both, "confidence", "reasons").select("s.*", "confidence", "reasons")
+    numbered = vin_matches(found).select("profile_id", "n", F.lit(HIGH[0]).alias("confidence"), F.array(F.lit(VIN_REASON)).alias("reasons"))
+    per_profile = banded.unionByName(numbered).withColumn("_rating", rating) \
+        .groupBy("profile_id").agg(
+            F.sum("n").alias("duplicate_candidate_count"),
             F.max_by("confidence", "_rating").alias("highest_duplicate_confidence"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_set("reasons"))))
             .alias("duplicate_candidate_reasons"))

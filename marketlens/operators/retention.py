@@ -96,7 +96,7 @@ def retired_to_prune(current: DataFrame, *, keep: int = MAX_RETIRED_PER_SOURCE,
     retired = current.where(F.col("lifecycle_state") == "retired")
     edges = oldest_kept(retired, SOURCE, ["last_seen_at", "canonical_listing_id"], keep)
     aged = F.col("elapsed_since_last_seen_days") > max_age_days
-    beyond = F.struct("last_seen_at", "canonical_listing_id") < F.col("_edge")
+    beyond = F.lit(keep <= 0) | (F.struct("last_seen_at", "canonical_listing_id") < F.col("_edge"))
     return retired.join(edges, SOURCE, "left").withColumn(
         "reason",
         F.when(aged, F.lit("retired_tombstone_age_limit_exceeded"))

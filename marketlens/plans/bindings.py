@@ -18,8 +18,6 @@ HOME = (43.65, -79.38)
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 

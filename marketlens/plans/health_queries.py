@@ -249,8 +249,8 @@ def manual_review(spark: SparkSession, d: str) -> DataFrame:
         F.lit(True).alias("row_cap_disabled"), F.lit(True).alias("config_isolated"))
     status = settle(status)
     inclusion = RV.source_inclusion(status.select("vehicle_key", "source"), status, accepted, known, F.lit("run-1"))
-    pairs = D.profile_pairs(settle(D.profiles(found)))
-    rows = RV.manual_review(accepted, status, known, D.candidate_index(pairs, found), None, inclusion)
+    profiles = settle(D.profiles(found))
+    rows = RV.manual_review(accepted, status, known, D.candidate_index(profiles, found), None, inclusion)
     return RV.in_review_order(rows).select(
         "vehicle_key", "source", "canonical_listing_id", "year", "vin_claim", "duplicate_candidate_count",
         "highest_duplicate_confidence", "review_status", "data_quality_status", "year_evidence_status", "ranking_status")

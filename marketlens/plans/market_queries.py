@@ -231,8 +231,8 @@ select vehicle_key, source, canonical_listing_id, count(*) as duplicate_candidat
 from s join rs using (canonical_listing_id) group by vehicle_key, source, canonical_listing_id
 """)
 def duplicate_index(spark: SparkSession, d: str) -> DataFrame:
-    pairs, found = matched(spark, d)
-    return D.candidate_index(pairs, found).withColumn(
+    found = settle(identities(spark, d))
+    return D.candidate_index(settle(D.profiles(found)), found).withColumn(
         "duplicate_candidate_reasons", F.array_join("duplicate_candidate_reasons", ";"))
 
 

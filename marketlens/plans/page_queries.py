@@ -209,5 +209,5 @@ def required_column_gate(spark: SparkSession, d: str) -> DataFrame:
 
 @query("file_inventory")
 def file_inventory(spark: SparkSession, d: str) -> DataFrame:
-    """The table files themselves: path, name, size (content is not read)."""
-    return FS.file_inventory(spark, d).select("name", "size_bytes")
+    """The table files themselves: name, size and content digest."""
+    return FS.file_inventory(spark, d, digest=True).select("name", "size_bytes", "sha256")

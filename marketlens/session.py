@@ -1,4 +1,4 @@
-"""Session settings, tables in the shared folder and size-checked broadcasts."""
+"""Session settings and tables in the shared folder."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -55,19 +54,18 @@ def settle(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread rows that come from fewer files than there are cores, before CPU-heavy expressions.
+    """Spread rows of a scan of few tasks, before CPU-heavy expressions.
 
-    Input of many files already fills the cluster and is returned unchanged, without a shuffle.
+    A scan of several tasks per core already fills the cluster and is returned unchanged, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() >= 4 * cores else df.repartition(cores)
 
 
-def small_side(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Settle an aggregate once and broadcast it only if its counted size is within bounds.
+def small_side(df: DataFrame) -> DataFrame:
+    """Settle an aggregate, so that the planner knows its bytes.
 
-    Above ``max_rows`` the frame is returned without a hint and the join
-    stays a shuffle join under AQE skew handling.
+    It is broadcast below spark.sql.autoBroadcastJoinThreshold; above, the join stays a shuffle join
+    under AQE skew handling.
     """
-    kept = settle(df)
-    return F.broadcast(kept) if kept.count() <= max_rows else kept
+    return settle(df)

@@ -6,19 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def file_inventory(spark: SparkSession, root: str, *, digest_up_to: int | None = None) -> DataFrame:
-    """Recursive path, name, size, modification time and, on request, the content digest.
+def file_inventory(spark: SparkSession, root: str, *, digest: bool = False) -> DataFrame:
+    """Recursive path, name, size, modification time and, on request, the content digest of every file.
 
-    Without ``digest_up_to`` the content column is pruned and no file is opened. With it, files up
-    to that many bytes are digested; larger ones (Spark reads a file as one value) get a NULL digest.
+    Without ``digest`` the content column is pruned and no file is opened. With it, every file is
+    digested in the task that reads it; Spark reads a file as one value and fails on one that does
+    not fit, so a digest is never missing.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    listed = files.select(
+    return files.select(
         F.regexp_replace("path", "^file:/+", "/").alias("path"),
         F.element_at(F.split("path", "/"), -1).alias("name"),
-        F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified_at"))
-    if digest_up_to is None:
-        return listed
-    small = files.where(F.col("length") <= digest_up_to).select(
-        F.regexp_replace("path", "^file:/+", "/").alias("path"), F.sha2("content", 256).alias("sha256"))
-    return listed.join(small, "path", "left")
+        F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified_at"),
+        *([F.sha2("content", 256).alias("sha256")] if digest else []))

@@ -1,25 +1,29 @@
 """Lifecycle over a stream of run snapshots.
 
 Every micro-batch is applied run by run with the incremental operator: state versions are written
-as tables, and the newest complete version is the start of the next batch. A batch that is retried
-writes the same version again, so the result does not depend on failures. Absence is evidence, so
-the state must be advanced per source; doing it as a keyed join spreads a large source over all
-tasks, where a keyed stateful operator would hold it in one.
+as tables, and the newest committed version is the start of the next batch, also of a new checkpoint.
+A batch that is retried writes the same version again, so the result does not depend on failures.
+Absence is evidence, so the state must be advanced per source; doing it as a keyed join spreads a
+large source over all tasks, where a keyed stateful operator would hold it in one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from marketlens.operators.incremental import STATE_SCHEMA, advance, empty_state, events_of
+from marketlens.operators.incremental import STATE_SCHEMA, advance, empty_state, events_of, prune
 from marketlens.operators.lifecycle import SOURCE
+from marketlens.operators.retention import MAX_RETIRED_PER_SOURCE
 
 SNAPSHOT_SCHEMA = (
     "vehicle_key string, source string, run_id string, run_ts timestamp, "
     "canonical_listing_id string, price_cad bigint"
 )
+COMMIT_SCHEMA = "version bigint, base bigint, stream string, batch_id bigint"
 
 
 def read_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -36,34 +40,62 @@ def state_at(spark: SparkSession, folder: str, version: int) -> DataFrame:
     return spark.read.schema(STATE_SCHEMA).parquet(f"{folder}/state/version={version}")
 
 
-def apply_batch(batch: DataFrame, batch_id: int, folder: str) -> None:
-    """Advance the state of the version before this batch by the runs of the batch, in order.
+def _commits(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per applied batch, below a folder that exists from the first call on."""
+    spark.createDataFrame([], COMMIT_SCHEMA).write.mode("append").parquet(f"{folder}/commits")
+    return spark.read.schema(COMMIT_SCHEMA).parquet(f"{folder}/commits")
+
+
+def newest_version(spark: SparkSession, folder: str) -> int:
+    """The newest committed version; -1 before the first one."""
+    return _commits(spark, folder).agg(F.coalesce(F.max("version"), F.lit(-1))).first()[0]
+
 
-    The loop is over the distinct run times of the batch (one per trigger in normal operation), not
-    over data; rows stay distributed and every step starts from a written table.
+def apply_batch(batch: DataFrame, batch_id: int, folder: str, stream: str = "stream", keep: int = MAX_RETIRED_PER_SOURCE) -> None:
+    """Advance the newest committed state by the runs of the batch, in order, and prune retired listings.
+
+    Wave k holds the k-th run of every vehicle and source of the batch (one wave per trigger in normal
+    operation), so the loop is not over data; every step starts from a written table.
     """
     spark = batch.sparkSession
-    landed = f"{folder}/landed/batch={batch_id}"
+    landed = f"{folder}/landed/{stream}/batch={batch_id}"
     batch.write.mode("overwrite").parquet(landed)
     rows = spark.read.schema(SNAPSHOT_SCHEMA).parquet(landed)
-    runs = rows.select(*SOURCE, "run_id", "run_ts").distinct()
-    order = sorted({(r.run_ts, r.run_id) for r in runs.select("run_ts", "run_id").distinct().toLocalIterator()})
-    state = state_at(spark, folder, batch_id - 1)
-    if not order:  # nothing came: the state goes on as this version
-        state.write.mode("overwrite").parquet(f"{folder}/state/version={batch_id}")
-    for step, (run_ts, run_id) in enumerate(order):
-        at = (F.col("run_id") == run_id) & (F.col("run_ts") == F.lit(run_ts))
-        wave = runs.where(at)
-        accepted = rows.where(at & F.col("canonical_listing_id").isNotNull())
-        last = step == len(order) - 1
-        target = f"{folder}/state/version={batch_id}" if last else f"{folder}/steps/batch={batch_id}/step={step}"
-        advance(state, wave, accepted).write.mode("overwrite").parquet(target)
+    numbered = rows.select(*SOURCE, "run_id", "run_ts").distinct().withColumn(
+        "wave", F.row_number().over(Window.partitionBy(*SOURCE).orderBy("run_ts", "run_id")))
+    numbered.write.mode("overwrite").parquet(f"{folder}/waves/{stream}/batch={batch_id}")
+    runs = spark.read.schema(numbered.schema).parquet(f"{folder}/waves/{stream}/batch={batch_id}")
+    waves = runs.agg(F.coalesce(F.max("wave"), F.lit(0))).first()[0]
+    done = _commits(spark, folder).where((F.col("stream") == stream) & (F.col("batch_id") == batch_id)).first()
+    base = done["base"] if done else newest_version(spark, folder)
+    version = done["version"] if done else base + 1
+    state = state_at(spark, folder, base)
+    if not waves:  # nothing came: the state goes on as this version
+        state.write.mode("overwrite").parquet(f"{folder}/state/version={version}")
+    for k in range(1, waves + 1):
+        wave = runs.where(F.col("wave") == k).drop("wave")
+        accepted = rows.where("canonical_listing_id is not null").join(wave, wave.columns, "left_semi")
+        step, part = f"{folder}/steps/version={version}/step={k}", f"version={version}/step={k}"
+        advance(state, wave, accepted).write.mode("overwrite").parquet(step)
+        advanced = spark.read.schema(STATE_SCHEMA).parquet(step)
+        events_of(advanced, wave).write.mode("overwrite").parquet(f"{folder}/events/{part}")
+        left, deleted = prune(advanced, keep)
+        deleted.write.mode("overwrite").parquet(f"{folder}/deletions/{part}")
+        target = f"{folder}/state/version={version}" if k == waves else f"{folder}/steps/version={version}/pruned={k}"
+        left.write.mode("overwrite").parquet(target)
         state = spark.read.schema(STATE_SCHEMA).parquet(target)
-        events_of(state, wave).write.mode("overwrite").parquet(f"{folder}/events/batch={batch_id}/step={step}")
+    if not done:
+        spark.createDataFrame([(version, base, stream, batch_id)], COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{folder}/commits")
+
 
+def start(snapshots: DataFrame, folder: str, available_now: bool = True, progress: str = "progress") -> StreamingQuery:
+    """Start the stream; ``folder`` is shared storage for state, events and progress.
+
+    Batches are known by the id that Spark gives a checkpoint, so a new checkpoint goes on with the state.
+    """
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        about = batch.sparkSession.read.text(f"{folder}/{progress}/metadata").first()[0]
+        apply_batch(batch, batch_id, folder, json.loads(about)["id"])
 
-def start(snapshots: DataFrame, folder: str, available_now: bool = True) -> StreamingQuery:
-    """Start the stream; ``folder`` is shared storage for state, events and progress."""
-    writer = snapshots.writeStream.option("checkpointLocation", f"{folder}/progress").foreachBatch(
-        lambda batch, batch_id: apply_batch(batch, batch_id, folder))
+    writer = snapshots.writeStream.option("checkpointLocation", f"{folder}/{progress}").foreachBatch(apply)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

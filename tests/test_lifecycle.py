@@ -142,10 +142,7 @@ def test_stream_equals_batch(spark, tmp_path):
         spark.createDataFrame(rows, S.SNAPSHOT_SCHEMA).coalesce(1).write.mode("append").parquet(source)
     query = S.start(S.read_stream(spark, source, max_files=2), folder)
     query.awaitTermination()
-    last = query.lastProgress["batchId"] if query.lastProgress else 2
-    versions = [p.name for p in (tmp_path / "out" / "state").iterdir() if p.name.startswith("version=")]
-    newest = max(int(v.split("=")[1]) for v in versions)
-    assert newest <= last
+    newest = S.newest_version(spark, folder)
     seen, _ = batch(spark, runs, log)
     columns = ["canonical_listing_id", "lifecycle_state", "lifecycle_state_reason", "missing_run_count", "observation_count"]
     a = sorted(map(tuple, LC.current_state(seen).select(columns).collect()))
@@ -154,6 +151,31 @@ def test_stream_equals_batch(spark, tmp_path):
     assert events == LC.transitions(seen).count()
 
 
+def test_stream_goes_on_after_faults(spark, tmp_path):
+    """An empty batch, a retried batch, a new checkpoint over old state, several sources, pruning."""
+    folder = str(tmp_path)
+    at = [START + timedelta(days=20 * i) for i in range(6)]
+    def batch_of(*rows):
+        return spark.createDataFrame(list(rows), S.SNAPSHOT_SCHEMA)
+    def state():
+        found = S.state_at(spark, folder, S.newest_version(spark, folder)).collect()
+        return {(r.source, r.canonical_listing_id): (r.lifecycle_state, r.observation_count, r.missing_run_count) for r in found}
+    S.apply_batch(batch_of(), 0, folder)
+    assert state() == {}
+    first = batch_of(("v", "s", "r0", at[0], "a", 1), ("v", "s", "r0", at[0], "b", 2), ("v", "t", "q0", at[0] + timedelta(hours=1), "c", 3),
+                     ("v", "s", "r1", at[1], "a", 1))
+    S.apply_batch(first, 1, folder)
+    assert state() == {("s", "a"): ("active", 2, 0), ("s", "b"): ("missing", 1, 1), ("t", "c"): ("active", 1, 0)}
+    S.apply_batch(first, 1, folder)
+    assert state()[("s", "a")] == ("active", 2, 0) and S.newest_version(spark, folder) == 1
+    S.apply_batch(batch_of(("v", "s", "r2", at[2], "a", 1)), 0, folder, stream="new checkpoint")
+    assert state()[("s", "a")] == ("active", 3, 0) and state()[("s", "b")][2] == 2
+    S.apply_batch(batch_of(*[("v", "s", f"r{i}", at[i], "a", 1) for i in (3, 4)]), 1, folder, stream="new checkpoint", keep=0)
+    assert ("s", "b") not in state() and state()[("s", "a")][1] == 5
+    gone = spark.read.option("recursiveFileLookup", "true").parquet(f"{folder}/deletions").collect()
+    assert [r.canonical_listing_id for r in gone] == ["b"]
+
+
 def test_count_limit_prunes_the_oldest_retired(spark):
     state = spark.createDataFrame([
         ("v", "s", f"l{i}", "retired", START + timedelta(days=i), 30.0 + i) for i in range(6)

@@ -72,7 +72,7 @@ def candidates(spark, rows):
     found = D.with_profile(D.identity_components(spark.createDataFrame(rows, LISTING))).cache()
     pairs = D.profile_pairs(D.profiles(found))
     out = {(r.left_listing_id, r.right_listing_id): r for r in D.listing_pairs(pairs, found).collect()}
-    index = {r.canonical_listing_id: r for r in D.candidate_index(pairs, found).collect()}
+    index = {r.canonical_listing_id: r for r in D.candidate_index(D.profiles(found), found).collect()}
     return out, index
 
 
@@ -117,6 +117,20 @@ def test_copies_meet_as_profiles(spark):
     assert {r.duplicate_candidate_count for k, r in index.items() if k[0] == "a"} == {30}
 
 
+def test_a_number_that_many_listings_carry(spark):
+    n = 50_000
+    ids = spark.range(2 * n).withColumn("source", F.when(F.col("id") < n, "A").otherwise("B"))
+    rows = ids.select(
+        F.lit("v").alias("vehicle_key"), "source", F.concat("source", F.col("id")).alias("canonical_listing_id"),
+        F.lit(None).cast("int").alias("year"), F.lit("").alias("make"), F.lit("").alias("model"), F.lit("").alias("trim"),
+        F.col("id").alias("price_cad"), F.col("id").alias("mileage_km"), F.lit("").alias("dealer"), F.lit("").alias("location"),
+        F.lit(VIN).alias("vin_claim"), F.lit(D.VIN_VALID).alias("vin_evidence_status"))
+    found = D.with_profile(D.identity_components(rows)).cache()
+    index = D.candidate_index(D.profiles(found), found)
+    out = index.groupBy("source", "duplicate_candidate_count", "highest_duplicate_confidence").count().collect()
+    assert sorted(map(tuple, out)) == [("A", n, "high", n), ("B", n, "high", n)]
+
+
 def test_candidate_join_is_an_equi_join(spark):
     found = D.with_profile(D.identity_components(spark.createDataFrame([listing("A", "a"), listing("B", "b")], LISTING)))
     plan = D.profile_pairs(D.profiles(found))._jdf.queryExecution().executedPlan().toString()
