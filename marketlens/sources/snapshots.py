@@ -28,6 +28,9 @@ def _strings(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+MOST_HEADER_TEXT = 8 << 20  # characters of all headers up to which they are sent to every task
+
+
 def header_lines(spark: SparkSession, path: str) -> DataFrame:
     """First line of each file, found at the file head; no file is read on the driver."""
     text = spark.read.text(path).select(
@@ -46,10 +49,15 @@ def read_snapshots(spark: SparkSession, path: str, columns: Sequence[str] = SNAP
 
     Columns go by the names in the header of the file: order does not matter, further columns are left
     out, absent ones are NULL. Rows with a filled cell beyond their header are the only malformed ones;
-    short rows keep NULLs. Only the widest header's width reaches the driver.
+    short rows keep NULLs. Only the widest header's width and the amount of header
+    text reach the driver.
     """
     headers = small_side(header_lines(spark, path).select("file", header_names(F.col("header")).alias("_names")))
-    width = headers.agg(F.max(F.size("_names"))).first()[0] or len(columns)
+    width, amount = headers.agg(
+        F.max(F.size("_names")), F.sum(F.length("file") + F.length(F.array_join("_names", ",")))).first()
+    width = width or len(columns)
+    if (amount or 0) <= MOST_HEADER_TEXT:
+        headers = F.broadcast(headers)
     cells = [f"_{i}" for i in range(width)]
     raw = spark.read.schema(_strings([*cells, OVERFLOW])).options(
         header="true", enforceSchema="true", **CSV_OPTIONS).csv(path)
