@@ -25,7 +25,7 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 LEAST = {"assign": 8, "access": 16, "hex": 32}
 
-TOKEN = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-])"
+TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-])"
 ENDPOINT = r"\b[a-z][a-z0-9+.-]{1,15}://[^\x00-\x20\"'<>]+"
 KINDS = ("assign", "access", "hex", "linked_secret", "linked_endpoint")
 SCOPE = 400
