@@ -84,9 +84,9 @@ def notices_in(text: str, share: float = EDIT_SHARE) -> list[tuple[int, int, str
     found = []
     for notice, hits in near.items():
         label, _, edits, _, pattern = hits[0][1]
-        last, seen = -1, -1
+        last, seen = -1, None
         for begin, _ in sorted(hits, key=lambda h: h[0]):
-            if begin <= seen:
+            if seen is not None and begin <= seen:
                 continue
             low, high = max(0, last, begin - edits), min(len(text), begin + len(notice) + 2 * edits)
             seen = begin

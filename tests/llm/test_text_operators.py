@@ -166,6 +166,18 @@ def test_license_seeds_lose_no_bounded_match():
             assert any(label == "mit" for _, _, label, _ in license_scan.notices_in(text))
 
 
+def test_license_notice_with_a_damaged_start_at_either_end_of_a_text():
+    for label, notices in license_scan.NOTICES.items():
+        for notice in notices:
+            if license_scan.edits_of(notice):
+                first = license_scan.pieces(notice, license_scan.edits_of(notice))[0][1]
+                for i in (k for k in range(1, len(first)) if first[k] != " "):
+                    damaged = notice[:i] + notice[i + 1:]
+                    for text in (damaged, damaged + " end", "start " + damaged):
+                        at = text.index(damaged)
+                        assert (at, at + len(damaged), label, 1) in license_scan.notices_in(text), (text, i)
+
+
 def test_pieces_equal_the_library():
     import sentencepiece
     data = open(piece_coding.MODEL, "rb").read()
