@@ -1,8 +1,9 @@
 """Quality rules by divergence from language references.
 
 A document's shares of character classes and of common words are compared with those of each language
-(all documents labelled with it) by Jensen-Shannon distance; what is far from every language is rejected.
-Both comparisons apply only from a least length on, since short texts have ragged histograms. Common
+(all documents labelled with it) by Jensen-Shannon distance; what is far from every language, in one or the
+other, is rejected. How far is far comes from the labelled documents' distances to their own language, by
+classes of length, since short texts have ragged histograms: their median and some spreads more. Common
 words are those above a share of a language's words. Batches nominate words above half that share; where
 a word is not nominated, it has less than half the share, so the nominations bound its count from above.
 Words whose bound reaches the share are at most 2 / share, and a second pass counts them exactly.
@@ -26,8 +27,9 @@ SYMBOLS = b"#*$%&|<>"
 LEAST_WORDS, MOST_REPEATED_PERCENT, REPEAT_WINDOW = 50, 50, 3
 
 COMMON_SHARE = 0.005
-CHARACTER_LIMIT, WORD_LIMIT = 0.30, 0.42
-WORD_GUARD = 100  # words from which common words are compared; characters from LEAST_WORDS on
+# Spreads above the median that are not far yet, and documents of a length class that a spread takes.
+SPREADS, LEAST_DOCUMENTS = 4.0, 30
+BINS, LENGTHS = 1024, 40  # of the distances, and of the lengths: each class is twice as long as the one before
 
 CLASSES = ("lower", "upper", "digit", "beyond ascii", "space", "line end", "sentence mark", "symbol", "other mark")
 
@@ -52,6 +54,7 @@ class References:
     languages: list[str] = field(default_factory=list)
     characters: np.ndarray = field(default_factory=lambda: np.zeros((0, len(CLASSES))))
     words: np.ndarray = field(default_factory=lambda: np.zeros((0, 1)))
+    limits: np.ndarray = field(default_factory=lambda: np.full((LENGTHS, 2), np.inf))  # of characters and words by length class
 
 
 def histograms(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray, first: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -81,10 +84,32 @@ def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return out
 
 
-def references(docs: DataFrame, text_column: str = "text", lang_column: str = "lang", share: float = COMMON_SHARE) -> References:
+def length_class(words: np.ndarray) -> np.ndarray:
+    """0 below twice LEAST_WORDS, 1 below four times as many, and so on."""
+    return np.clip(np.log2(np.maximum(words, LEAST_WORDS) / LEAST_WORDS).astype(np.int64), 0, LENGTHS - 1)
+
+
+def limits_of(counts: np.ndarray, spreads: float) -> np.ndarray:
+    """Limits of (characters, words) by length class from counts of distances (length class, measure, bin).
+
+    The spread is taken below the median, as junk lies above, and is no less than what drawing as many words
+    at random gives. Classes of few documents take the limit of shorter ones, which is wider, or have none.
+    """
+    out, last = np.full((LENGTHS, 2), np.inf), np.full(2, np.inf)
+    for k, measures in enumerate(counts):
+        if measures[0].sum() >= LEAST_DOCUMENTS:
+            low, middle = (np.array([np.searchsorted(np.cumsum(m), q * m.sum()) + 1 for m in measures]) / BINS for q in (0.25, 0.5))
+            last = middle + spreads * np.maximum((middle - low) / 0.6745, 1 / np.sqrt(16 * np.log(2) * LEAST_WORDS * 2.0 ** k))
+        out[k] = last
+    return out
+
+
+def references(docs: DataFrame, text_column: str = "text", lang_column: str = "lang", share: float = COMMON_SHARE,
+               spreads: float = SPREADS) -> References:
     """References of all languages, from all documents with a text and a language.
 
-    What reaches the driver is bounded: at most 2 / share words and the character classes per language.
+    What reaches the driver is bounded: at most 2 / share words and the character classes per language,
+    and a histogram of distances per length class.
     """
     rows = docs.where(F.col(lang_column).isNotNull() & F.col(text_column).isNotNull()).select(F.col(text_column), F.col(lang_column).cast("string"))
 
@@ -134,7 +159,28 @@ def references(docs: DataFrame, text_column: str = "text", lang_column: str = "l
     chars, words = every[:, :len(CLASSES)], every[:, len(CLASSES):]
     common = (words[:, :-1] >= share * np.maximum(1, words.sum(1, keepdims=True))).any(0) if langs else np.zeros(0, bool)
     kept = np.concatenate([words[:, :-1][:, common], words.sum(1, keepdims=True) - words[:, :-1][:, common].sum(1, keepdims=True)], 1)
-    return References(nominated[common], langs, chars / np.maximum(1, chars.sum(1, keepdims=True)), kept / np.maximum(1, kept.sum(1, keepdims=True)))
+    found = References(nominated[common], langs, chars / np.maximum(1, chars.sum(1, keepdims=True)), kept / np.maximum(1, kept.sum(1, keepdims=True)))
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(LENGTHS * 2 * BINS, np.int64)
+        for batch in batches:
+            for lang, data, offsets in by_language(batch):
+                starts, ends, first = bounds(data, offsets)
+                n, own = np.diff(first), found.languages.index(lang)
+                long = n >= LEAST_WORDS
+                both = histograms(data, offsets, word_ids(data, starts, ends, True), first, found.vocabulary)
+                for measure, (rows, shares) in enumerate(zip(both, (found.characters, found.words))):
+                    far = distance(rows[long], shares[own:own + 1])[:, 0]
+                    at = (length_class(n[long]) * 2 + measure) * BINS + np.minimum((far * BINS).astype(np.int64), BINS - 1)
+                    counts += np.bincount(at, minlength=len(counts))
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["at", "n"])
+
+    spreading = np.zeros(LENGTHS * 2 * BINS)
+    for r in rows.mapInArrow(tidy(spread), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toLocalIterator():
+        spreading[r["at"]] = r["n"]
+    found.limits = limits_of(spreading.reshape(LENGTHS, 2, BINS), spreads)
+    return found
 
 
 def _duplicate_lines(text: bytes) -> int:
@@ -168,21 +214,19 @@ SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_re
           "character_distance double, word_distance double, kept boolean")
 
 
-def judge(docs: DataFrame, reference: References, text_column: str = "text", character_limit: float = CHARACTER_LIMIT,
-          word_limit: float = WORD_LIMIT) -> DataFrame:
+def judge(docs: DataFrame, reference: References, text_column: str = "text") -> DataFrame:
     """Every row of docs as a struct `doc`, with its measures and verdict as a struct `quality`.
 
-    A row is rejected if the base rules fail or if it is long enough and farther than a limit from all
-    languages. Distances are null below the guards and without references; then only the base rules
-    count. Null and empty texts have no words and fail. Repeated rows get equal verdicts.
+    A row is rejected if the base rules fail or if no language has both its characters and its words within
+    the limits of its length. The distances are those to the language that comes nearest to that; they are
+    null below LEAST_WORDS and without references, where only the base rules count. Null and empty texts have no words and fail. Repeated rows get equal verdicts.
     """
     inner = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("doc"), F.col(text_column).cast("string").alias("t"))
-    limits = (character_limit, word_limit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, end, data, offsets in slices(batch.column(1)):
-                columns = _measure(data, offsets, reference, limits)
+                columns = _measure(data, offsets, reference)
                 quality = pa.StructArray.from_arrays(columns, list(MEASURES))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, end - row), quality], ["doc", "quality"])
 
@@ -190,7 +234,7 @@ def judge(docs: DataFrame, reference: References, text_column: str = "text", cha
     return inner.mapInArrow(tidy(run), f"doc {kind}, quality struct<{SCHEMA.replace(' long', ':long').replace(' boolean', ':boolean').replace(' double', ':double')}>")
 
 
-def _measure(data: np.ndarray, offsets: np.ndarray, reference: References, limits: tuple[float, float]) -> list[pa.Array]:
+def _measure(data: np.ndarray, offsets: np.ndarray, reference: References) -> list[pa.Array]:
     rows = len(offsets) - 1
     starts, ends, first = bounds(data, offsets)
     exact = word_ids(data, starts, ends, False)
@@ -205,10 +249,14 @@ def _measure(data: np.ndarray, offsets: np.ndarray, reference: References, limit
     repeats = np.array([_repeated_words(exact[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist())], np.int64)
     failed = (words < LEAST_WORDS) | (100 * repeats > MOST_REPEATED_PERCENT * words)
     far_chars, far_words = np.full(rows, np.nan), np.full(rows, np.nan)
+    limits = reference.limits[length_class(words)]
     if reference.languages and rows:
-        far_chars = np.where(words >= LEAST_WORDS, distance(chars, reference.characters).min(1), np.nan)
-        far_words = np.where(words >= WORD_GUARD, distance(common, reference.words).min(1), np.nan)
-    kept = ~failed & ~(far_chars > limits[0]) & ~(far_words > limits[1])
+        far = np.stack([distance(chars, reference.characters), distance(common, reference.words)], 2)
+        # Without limits all languages are equally good; the sum of the distances decides then.
+        nearest = np.lexsort((far.sum(2), (far / limits[:, None, :]).max(2)))[:, 0]
+        far = np.where((words >= LEAST_WORDS)[:, None], far[np.arange(rows), nearest], np.nan)
+        far_chars, far_words = far[:, 0], far[:, 1]
+    kept = ~failed & ~(far_chars > limits[:, 0]) & ~(far_words > limits[:, 1])
     return [pa.array(words.astype(np.int64)), pa.array((letters[first[1:]] - letters[first[:-1]]).astype(np.int64)), pa.array(symbols.astype(np.int64)),
             pa.array(lines), pa.array(repeats), pa.array(failed), pa.array(far_chars, mask=np.isnan(far_chars)),
             pa.array(far_words, mask=np.isnan(far_words)), pa.array(kept)]

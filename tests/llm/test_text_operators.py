@@ -246,6 +246,23 @@ def test_quality_distance_and_verdict(spark):
     assert not verdict[99] and all(v for k, v in verdict.items() if k != 99)
 
 
+def test_quality_rejects_salad_short_junk_and_mixed_languages(spark):
+    rnd = random.Random(6)
+    letters = {"aa": "abcdefghij", "bb": "абвгдежзик"}
+    common = {"aa": ["the", "of", "and", "to"], "bb": ["это", "как", "что", "для"]}
+
+    def text(n, lang, words):
+        return " ".join(rnd.choice(words) if words and rnd.random() < .21 else "".join(rnd.choice(letters[lang]) for _ in range(rnd.randint(3, 8))) for _ in range(n))
+    rows = [(i, text(60 if i % 2 else 400, lang, common[lang]), lang) for lang in letters for i in range(120)]
+    junk = lambda: " ".join(x for w in text(30, "aa", None).split() for x in (w, "|"))
+    rows += [(1000 + i, junk(), "aa") for i in range(12)] + [(2000, text(5000, "aa", None), "aa"), (2001, text(400, "bb", None), None)]
+    rows += [(2002, text(400, "bb", common["aa"]), "bb"), (2003, text(400, "aa", common["bb"]), None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    judged = quality_rules.judge(df, quality_rules.references(df)).select("doc.doc_id", "quality.*").collect()
+    assert not any(r["base_failed"] for r in judged)
+    assert sorted(r["doc_id"] for r in judged if not r["kept"]) == [*range(1000, 1012), *range(2000, 2004)]
+
+
 def test_languages_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = language_codes.fit(docs.where(~language_codes.held_out("doc_id")))
