@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -98,12 +99,32 @@ def contains_any(text: Column, terms: Sequence[str]) -> Column:
     return found
 
 
+# Character references of HTML 5 by name, with or without the semicolon, and what C1 codes stand for.
+REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)"
+NAMES = sorted(html5)
+SHORT = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))
+C1 = {bytes([i]).decode("latin-1"): bytes([i]).decode("cp1252") for i in range(0x80, 0xA0) if i not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+
+
+def _reference(r: Column) -> Column:
+    """The text a character reference stands for; an unknown name stays."""
+    named = F.map_from_arrays(F.split(F.lit(" ".join(NAMES)), " "), F.split(F.lit("\x01".join(html5[n] for n in NAMES)), "\x01"))
+    name = F.substring(r, F.lit(2), F.length(r))
+    short = F.regexp_extract(name, f"^(?:{SHORT})", 0)
+    text = F.coalesce(F.try_element_at(named, name), F.concat(
+        F.try_element_at(named, short), F.substring(name, F.length(short) + 1, F.length(name))), r)
+    hexadecimal = r.rlike("^&#[xX]")
+    digits = F.regexp_replace(F.regexp_replace(r, "^&#[xX]?0*(?=[0-9a-fA-F])", ""), ";$", "")
+    code = F.when(F.length(digits) > 8, F.lit(0xFFFD)).when(hexadecimal, F.conv(F.substring(digits, 1, 8), 16, 10).try_cast("long")).otherwise(
+        F.substring(digits, 1, 8).try_cast("long"))
+    valid = F.when((code > 0x10FFFF) | code.between(0xD800, 0xDFFF), F.lit(0xFFFD)).otherwise(code)
+    char = F.decode(F.unhex(F.lpad(F.hex(valid), 8, "0")), "UTF-32")
+    return F.when(r.startswith("&#"), F.translate(char, "".join(C1), "".join(C1.values()))).otherwise(text)
+
+
 def html_unescape(c: Column) -> Column:
-    """The five markup entities and the no-break space."""
-    # Named character references.
-    for name, char in (
-        ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "),
-        ("&amp;", "&"),
-    ):
-        c = F.replace(c, F.lit(name), F.lit(char))
-    return c
+    """Numeric and named character references as the characters they stand for, decoded once."""
+    between, found = F.split(c, REFERENCE, -1), F.regexp_extract_all(c, F.lit(REFERENCE), F.lit(0))
+    parts = F.transform(F.arrays_zip(between.alias("b"), found.alias("r")), lambda p: F.concat(
+        p["b"], F.when(p["r"].isNull(), F.lit("")).otherwise(_reference(p["r"]))))
+    return F.when(c.contains("&"), F.array_join(parts, "")).otherwise(c)

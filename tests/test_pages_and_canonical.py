@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import html
 import json
+from html.entities import html5
 
 from pyspark.sql import functions as F
 
 from marketlens.functions import listing as L
 from marketlens.functions.payload import source_text, vin_evidence
+from marketlens.functions.text import html_unescape
 from marketlens.operators import canonical as C
 from marketlens.operators import extract as E
 from marketlens.operators import routing as RT
@@ -230,3 +233,19 @@ def test_csv_columns_go_by_header_name(spark, tmp_path):
     rows = {r.row.listing_id: (r.row.url, r.row.mileage, r.malformed) for r in SN.read_snapshots(spark, str(tmp_path), cols).collect()}
     assert rows == {"A1": ("http://x", "5", False), "A2": ("http://y", "7", True), "B1": ("http://z", "9", False),
                     "B2": (None, None, False), "C1": ("http://c", None, False), "C2": ("http://c", None, True)}
+
+
+def test_character_references_equal_the_library(spark):
+    texts = ["caf&eacute; &#8217;s &#x27;x&#X27; &copy; 1 &copy 2", "&amp;eacute; &amp;#39; &amp;amp;lt;", "&nbsp;&lt;&gt;&quot;&#39;", "&unknown; &x & && &;",
+             "&notit; &notin; &copyfoo; &amp", "&#128512;&#x1F600;&#x80;&#150;&#0000065;", "&#xD800; &#x110000; &#99999999999999999999; &#xFFFFFFFFFFFFFFFFF;",
+             "no reference", "", "&NotEqualTilde; &fjlig; &CounterClockwiseContourIntegral;", "&#; &#x; &#65"]
+    texts += ["|".join(f"&{n} " for n in html5)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(-1, None)], "i int, t string").repartition(2)
+    out = {r["i"]: r["u"] for r in df.select("i", html_unescape(F.col("t")).alias("u")).collect()}
+    assert out == {-1: None, **{i: html.unescape(t) for i, t in enumerate(texts)}}
+
+
+def test_diagnostics_decode_references_in_titles_and_text(spark):
+    page = "<title>Caf&eacute; &#8211; menu</title><body><p>captch&#97; &copy; it&#x27;s</p></body>"
+    row = E.page_diagnostics(spark.createDataFrame([(1, page)], "id int, html string"), "html", "/t").first()
+    assert row["page_title"] == "Café – menu" and row["text_sample"] == "Café – menu captcha © it's" and row["block_markers"] == ["captcha"]
