@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from marketlens.llm import (
     cover_tree, jaccard_join, language_codes, license_scan, piece_coding, quality_rules, repeated_passages, secret_links,
-    source_mix, warc)
+    source_mix, spelling_groups, vector_codes, warc)
+from marketlens.llm.queries_sql import spelling_groups_sql, vector_codes_sql
 from marketlens.session import shared_path
 
 
@@ -65,11 +66,22 @@ def op10_secret_links(spark: SparkSession, folder: str) -> DataFrame:
     return secret_links.scan(table(spark, folder, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.compress(table(spark, folder, "embeddings"))
+
+
+def op12_spelling_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_groups.group(table(spark, folder, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_license_scan, op3_piece_coding, op4_warc_revisits, op5_quality_rules, op6_cover_tree,
-    op7_source_mix, op8_repeated_passages, op9_language_codes, op10_secret_links)}
+    op7_source_mix, op8_repeated_passages, op9_language_codes, op10_secret_links,
+    op11_vector_codes, op12_spelling_groups)}
 
 SQL: dict[str, str] = {
+    "op11_vector_codes": vector_codes_sql(),
+    "op12_spelling_groups": spelling_groups_sql(),
     "op4_warc_revisits": """
 with d as (select page_id, octet_length(encode(coalesce(html, ''))) as b, sha256(coalesce(html, '')) as g from pages),
 f as (select g, min(page_id) as m from d where b >= 100 group by g)
