@@ -103,16 +103,16 @@ def fit(labelled: DataFrame) -> Model:
 
 
 def held_out(id_column: str) -> Column:
-    """Whether a row is kept from fitting: crc32 of the id as text, modulo 4, is 2; null without an id."""
-    return F.pmod(F.crc32(F.col(id_column).cast("string").cast("binary")), F.lit(4)) == 2
+    """Whether a row is kept from fitting: crc32 of the id as text (a null id: empty), modulo 4, is 2."""
+    return F.pmod(F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")), F.lit(4)) == 2
 
 
 def identify(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, held_out, lang_pred, score and ambiguous of each row of docs.
 
     Texts that are null or have no letter are `und` with score 0, as are all texts if nothing was learned.
-    Rows without an id are not held out. Ties go to the language that sorts first. Repeated rows give
-    repeated results; other columns are not looked at.
+    Rows without an id are not held out and are learned from. Ties go to the language that sorts first. Repeated rows give
+    repeated results; an empty table gives no rows; other columns are not looked at.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,5 +124,5 @@ def identify(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colu
                     [part.column(0), part.column(1), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(flag, pa.bool_())],
                     ["doc_id", "held_out", "lang_pred", "score", "ambiguous"])
 
-    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(held_out(id_column), F.lit(False)).alias("held_out"),
+    return docs.select(F.col(id_column).cast("long").alias("doc_id"), held_out(id_column).alias("held_out"),
                        F.col(text_column)).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean")

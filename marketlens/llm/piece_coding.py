@@ -31,7 +31,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 PIECES = 1 << 24
-CACHE, PAIRS = 400_000, 200_000  # words and pairs that a task remembers; only time depends on them
+CACHE, PAIRS = 300_000, 200_000  # words, stretches and pairs that a task remembers; only time depends on them
 
 
 class Coder:
@@ -51,14 +51,17 @@ class Coder:
         self.score = {self.text[i]: (float(sp.get_score(i)), i) for i in plain}
         self.longest = max(map(len, self.score))
         self.penalty = min(s for s, _ in self.score.values()) - UNKNOWN_PENALTY
-        #: Ids of pieces; -1 for what only begins one.
-        self.ids: dict[str, int] = {t[:n]: -1 for t in self.score for n in range(1, len(t))}
-        self.ids.update({t: i for t, (_, i) in self.score.items()})
+        #: Ids of pieces; -1 for what only ends one.
+        self.ends: dict[str, int] = {t[n:]: -1 for t in self.score for n in range(1, len(t))}
+        self.ends.update({t: i for t, (_, i) in self.score.items()})
         self.value = [sp.get_score(i) for i in range(size)]
         self.beside = {t[k:k + 2] for t in self.score for k in range(len(t) - 1)}
         self.crossing = any(SPACE in t[1:] and t.strip(SPACE) for t in self.score)
         self.pairs: dict[int, bool] = {}
+        self.spines: dict[int, tuple[bool, list[tuple[float, str, str]]]] = {}
+        self.widest = 0
         self.cache: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     @staticmethod
     def _model_type(proto: bytes) -> int:
@@ -67,9 +70,9 @@ class Coder:
         spec.ParseFromString(proto)
         return spec.trainer_spec.model_type
 
-    def merge(self, text: str) -> list[str]:
-        """Merges neighbours, the best score first and then the leftmost, until none form a piece."""
-        parts = list(text)
+    def steps(self, text: str) -> list[tuple[float, str, str]]:
+        """Merges neighbours, the best score first and then the leftmost, until none form a piece: score, first and last part after each."""
+        parts, done = list(text), []
         while len(parts) > 1:
             best, at = -float("inf"), -1
             for k in range(len(parts) - 1):
@@ -79,12 +82,40 @@ class Coder:
             if at < 0:
                 break
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+            done.append((best, parts[0], parts[-1]))
+        return done
+
+    def _spine(self, piece: int) -> tuple[bool, list[tuple[float, str, str]]]:
+        """Whether a piece's own text merges to it, and the merges that lead there."""
+        got = self.spines.get(piece)
+        if got is None:
+            text = self.text[piece]
+            done = self.steps(text)
+            got = self.spines[piece] = (len(text) == 1 or bool(done) and done[-1][1] == text, done)
+        return got
 
     def _apart(self, left: int, right: int) -> bool:
-        """Whether two pieces stay as they are when their joined text is merged; left -1 is the start."""
-        first = [self.text[left]] if left >= 0 else []
-        answer = left < -1 or self.merge("".join(first) + self.text[right]) == [*first, self.text[right]]
+        """Whether two pieces stay as they are when their joined text is merged; left below 0 is the start or an unknown character.
+
+        The parts at the seam are followed through the merges of both sides in the order of their scores; the pieces stay
+        apart unless the parts merge across the seam first.
+        """
+        answer, ahead = self._spine(right)
+        if left >= 0 and answer:
+            answer, behind = self._spine(left)
+            i, j, u, v = 0, 0, self.text[left][-1], self.text[right][0]
+            while answer:
+                across = self.score.get(u + v)
+                a = behind[i][0] if i < len(behind) else None
+                b = ahead[j][0] if j < len(ahead) else None
+                if across is not None and (a is None or across[0] > a) and (b is None or across[0] >= b):
+                    answer = False
+                elif a is not None and (b is None or a >= b):
+                    u, i = behind[i][2], i + 1
+                elif b is not None:
+                    v, j = ahead[j][1], j + 1
+                else:
+                    break
         if len(self.pairs) >= PAIRS:
             self.pairs.clear()
         self.pairs[left * PIECES + right] = answer
@@ -93,52 +124,54 @@ class Coder:
     def viterbi(self, text: str) -> list[int]:
         """Ids of the segmentation, committed from a bounded window; -2 - c stands for unknown code point c.
 
-        Per boundary from `base` on, the window holds where its best piece starts, the piece and the score.
+        Per boundary from `base` on, the window holds where its best piece starts, the piece and the score. The pieces that
+        end at a boundary are looked up from the shortest one; with merges the first allowed one is the only one.
         """
-        ids_get, pair_get, merges, longest, n = self.ids.get, self.pairs.get, self.merges, self.longest, len(text)
-        span = min(n, 3 * longest)
-        came, piece, score = [-1] * (span + 1), [-1] * (span + 1), [0.0] * (span + 1)
+        ends_get, pair_get, merges, longest, n = self.ends.get, self.pairs.get, self.merges, self.longest, len(text)
+        came, piece, score = [0], [-1], [0.0]
         out: list[int] = []
-        base = came[0] = 0
-        for i in range(n):
-            at = i - base
-            last, here = piece[at], score[at]
-            row = last * PIECES
-            stop = min(n, i + longest)
-            if stop - base >= len(came):
-                for column, empty in ((came, -1), (piece, -1), (score, 0.0)):
-                    column.extend([empty] * (2 * longest))
-            for j in range(i + 1, stop + 1):
-                got = ids_get(text[i:j])
+        base = 0
+        for k in range(1, n + 1):
+            start, best, total = -1, -1, 0.0
+            low = k - longest if k - longest > base else base
+            for i in range(k - 1, low - 1, -1):
+                got = ends_get(text[i:k])
                 if got is None:
                     break
                 if got >= 0:
-                    k = j - base
                     if merges:
-                        if came[k] < 0:
-                            ok = pair_get(row + got)
-                            if ok or ok is None and self._apart(last, got):
-                                came[k], piece[k] = i, got
-                    elif came[k] < 0 or here + self.value[got] > score[k]:
-                        came[k], piece[k], score[k] = i, got, here + self.value[got]
-            if ids_get(text[i], -1) < 0 and (came[at + 1] < 0 or not merges and here + self.penalty > score[at + 1]):
-                came[at + 1], piece[at + 1], score[at + 1] = i, -2 - ord(text[i]), here + self.penalty
-            if i + 1 == n or at >= 2 * longest:
-                meet = self._meeting(came, base, [k for k in range(i + 1, stop + 1) if came[k - base] >= 0])
-                path, k = [], meet
-                while k > base:
-                    path.append(piece[k - base])
-                    k = came[k - base]
+                        left = piece[i - base]
+                        ok = pair_get(left * PIECES + got)
+                        if ok or ok is None and self._apart(left, got):
+                            start, best = i, got
+                            break
+                    else:
+                        sum_ = score[i - base] + self.value[got]
+                        if start < 0 or sum_ >= total:
+                            start, best, total = i, got, sum_
+            if (start < 0 or not merges) and ends_get(text[k - 1], -1) < 0:
+                sum_ = 0.0 if merges else score[k - 1 - base] + self.penalty
+                if start < 0 or sum_ > total:
+                    start, best, total = k - 1, -2 - ord(text[k - 1]), sum_
+            came.append(start)
+            piece.append(best)
+            if not merges:
+                score.append(total)
+            if k == n or k - base >= 2 * longest:
+                meet = k if k == n else self._meeting(came, base, range(max(base, k - longest + 1), k + 1))
+                path, at = [], meet
+                while at > base:
+                    path.append(piece[at - base])
+                    at = came[at - base]
                 out.extend(reversed(path))
+                self.widest = max(self.widest, len(came))
                 del came[:meet - base], piece[:meet - base], score[:meet - base]
                 base = meet
         return out
 
     @staticmethod
-    def _meeting(came: list[int], base: int, ends: list[int]) -> int:
+    def _meeting(came: list[int], base: int, ends: Iterable[int]) -> int:
         """Last boundary that the paths of all open states pass."""
-        if len(ends) == 1:
-            return ends[0]
         open_ends = set(ends)
         while len(open_ends) > 1:
             top = max(open_ends)
@@ -154,7 +187,7 @@ class Coder:
             if len(cuts) > 2:
                 return b"".join(self._pieces(stretch[a:b]) for a, b in zip(cuts, cuts[1:]))
             ids = array("i", self._spell(self.viterbi(stretch))).tobytes()
-            if len(stretch) <= 64:
+            if len(stretch) <= 64 and stretch[0] != SPACE:
                 if len(self.cache) >= CACHE:
                     self.cache.clear()
                 self.cache[stretch] = ids
@@ -169,22 +202,40 @@ class Coder:
             else:
                 yield self.unknown
 
+    def _word(self, part: str) -> bytes:
+        """Ids of a word with the space before it, remembered by the word."""
+        ids = self._pieces(SPACE + part)
+        if len(part) < 64:
+            if len(self.words) >= CACHE:
+                self.words.clear()
+            self.words[part] = ids
+        return ids
+
     def packed(self, text: str | None) -> bytes:
         """Ids of a text as 32-bit integers; null and empty have none."""
         if not text:
             return b""
-        whole = (SPACE + text).replace(" ", SPACE)
         if self.crossing:
-            return self._pieces(whole)
+            return self._pieces((SPACE + text).replace(" ", SPACE))
+        text = text.replace(SPACE, " ")
+        parts = text.split(" ")
+        if "" not in parts:
+            found = list(map(self.words.get, parts))
+            if None in found:
+                for k, ids in enumerate(found):
+                    if ids is None:
+                        found[k] = self.words.get(parts[k]) or self._word(parts[k])
+            return b"".join(found)
         out: list[bytes] = []
-        parts = whole.split(SPACE)[1:]  # a run of spaces leaves empty parts, joined to the next one
-        pending, last, get = "", len(parts) - 1, self.cache.get
-        for k, part in enumerate(parts):
-            pending += SPACE
-            if part or k == last:
-                stretch = pending + part
-                out.append(get(stretch) or self._pieces(stretch))
-                pending = ""
+        pending, last, get = "", len(parts) - 1, self.words.get
+        for k, part in enumerate(parts):  # a run of spaces leaves empty parts, joined to the next one
+            if part and not pending:
+                out.append(get(part) or self._word(part))
+            else:
+                pending += SPACE
+                if part or k == last:
+                    out.append(self._pieces(pending + part))
+                    pending = ""
         return b"".join(out)
 
     def encode(self, text: str | None) -> list[int]:

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.llm import (
-    cover_tree, jaccard_join, language_codes, license_scan, piece_coding, quality_rules, repeated_passages, secret_links,
+    context_coding, cover_tree, jaccard_join, language_codes, license_scan, piece_coding, quality_rules, repeated_passages, secret_links,
     source_mix, spelling_groups, vector_codes, warc)
 from marketlens.llm.queries_sql import spelling_groups_sql, vector_codes_sql
-from marketlens.session import shared_path
+from marketlens.session import settle, shared_path
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,7 +32,9 @@ def op3_piece_coding(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_path(spark, "warc")
-    warc.write_archive(warc.deduplicated(warc.payloads(table(spark, folder, "pages"))), path)
+    records = warc.payloads(table(spark, folder, "pages"))
+    headers = settle(records.select("page_id", "payload_bytes", "payload_digest"))
+    warc.write_archive(warc.deduplicated(records, headers), path, per_file=warc.records_per_file(headers))
     return warc.resolved(warc.read_archive(spark, path, with_payload=False))
 
 
@@ -74,10 +76,15 @@ def op12_spelling_groups(spark: SparkSession, folder: str) -> DataFrame:
     return spelling_groups.group(table(spark, folder, "documents"))
 
 
+def op13_context_coding(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return context_coding.score(docs, docs.where(~context_coding.held_out("doc_id")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_license_scan, op3_piece_coding, op4_warc_revisits, op5_quality_rules, op6_cover_tree,
     op7_source_mix, op8_repeated_passages, op9_language_codes, op10_secret_links,
-    op11_vector_codes, op12_spelling_groups)}
+    op11_vector_codes, op12_spelling_groups, op13_context_coding)}
 
 SQL: dict[str, str] = {
     "op11_vector_codes": vector_codes_sql(),

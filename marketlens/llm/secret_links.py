@@ -21,11 +21,14 @@ from marketlens.session import settle
 
 # The base patterns, in the order of their kinds; group 2 of assign is the value.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-ACCESS = r"AKIA[A-Z0-9]+"
-HEX = r"[0-9a-f]+"
 LEAST = {"assign": 8, "access": 16, "hex": 32}
+#: With their least lengths, which the longest runs keep.
+ACCESS = r"AKIA[A-Z0-9]{12,}"
+HEX = r"[0-9a-f]{32,}"
 
-TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-])"
+#: A bare token of 40 characters that holds no identifier and no hexadecimal run, so that nothing is its own complement.
+TOKEN = (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-]))"
+         r"(?![A-Za-z0-9+/]{0,24}AKIA[A-Z0-9]{12})(?![A-Za-z0-9+/]{0,8}[0-9a-f]{32})[A-Za-z0-9+/]{40}")
 ENDPOINT = r"\b[a-z][a-z0-9+.-]{1,15}://[^\x00-\x20\"'<>]+"
 KINDS = ("assign", "access", "hex", "linked_secret", "linked_endpoint")
 SCOPE = 400
@@ -47,8 +50,8 @@ def _found(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """doc_id, key (digest of a text with findings, else null) and findings of each row."""
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     every = F.concat(
-        _findings(text, "assign", ASSIGN, ASSIGN, 2), _findings(text, "access", ACCESS, r"AKIA[A-Z0-9]{12}"),
-        _findings(text, "hex", HEX, r"[0-9a-f]{32}"), _findings(text, "token", TOKEN, TOKEN),
+        _findings(text, "assign", ASSIGN, ASSIGN, 2), _findings(text, "access", ACCESS, ACCESS),
+        _findings(text, "hex", HEX, HEX), _findings(text, "token", TOKEN, TOKEN),
         _findings(text, "endpoint", ENDPOINT, "://"))
     rows = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), F.sha2(text.cast("binary"), 256).alias("digest"), every.alias("parts"))
@@ -102,7 +105,8 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     """doc_id, n_assign, n_access, n_hex, base_sha256 and spans (kind:start:end by start) of each row of docs.
 
     Null and empty texts have no findings, the digest of an empty list and empty spans. Repeated rows give
-    repeated results; a null id stays null; other columns are not looked at.
+    repeated results; a null id stays null; texts of any length are scanned whole; an empty table gives no rows;
+    other columns are not looked at.
     """
     found = settle(_found(docs, id_column, text_column))
     listed = _listed(_spans(found, scope))
@@ -116,16 +120,18 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
 
 
 def redact(docs: DataFrame, text_column: str = "text", scope: int = SCOPE) -> DataFrame:
-    """The rows of docs with every reported span replaced by a mask; overlapping spans get one mask."""
-    found = settle(_found(docs.withColumn("doc_id", F.lit(None)) if "doc_id" not in docs.columns else docs, "doc_id", text_column))
-    spans = _spans(found, scope)
-    bounds = _listed(spans).select(F.col("key").alias("__key"), F.col("bounds").alias("__bounds"))
-    text = F.col(text_column)
+    """The rows of docs with every reported span replaced by a mask; overlapping spans get one mask.
+
+    A null text stays null; repeated rows are each masked; columns may have any names; an empty table gives no rows.
+    """
+    found = settle(_found(docs.select(F.lit(None).alias("doc_id"), text_column), "doc_id", text_column))
+    bounds = _listed(_spans(found, scope)).select("key", "bounds")
+    whole = docs.select(F.struct("*").alias("doc"))
+    text = F.col("doc")[text_column].cast("string")
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
     step = lambda a, s: F.when(s["start"] >= a["at"], F.struct(
         F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")), F.lit(MASK)).alias("out"),
         s["end"].alias("at"))).otherwise(F.struct(a["out"].alias("out"), F.greatest(a["at"], s["end"]).alias("at")))
-    cut = F.aggregate("__bounds", start, step, lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.length(text))))
-    keyed = docs.withColumn("__key", F.sha2(F.coalesce(text.cast("string"), F.lit("")).cast("binary"), 256))
-    return keyed.join(bounds, "__key", "left").withColumn(
-        text_column, F.when(F.col("__bounds").isNotNull(), cut).otherwise(text)).select(*docs.columns)
+    cut = F.aggregate("bounds", start, step, lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.length(text))))
+    keyed = whole.withColumn("key", F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)).join(bounds, "key", "left")
+    return keyed.select(*[F.when(F.col("bounds").isNotNull(), cut).otherwise(text).alias(c) if c == text_column else F.col("doc")[c].alias(c) for c in docs.columns])

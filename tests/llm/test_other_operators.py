@@ -4,6 +4,7 @@ import hashlib
 import math
 
 import numpy as np
+import pytest
 
 import corpus_pipeline
 from marketlens.llm import cover_tree, queries, warc
@@ -41,6 +42,25 @@ def test_warc_archives_are_resolved_again(spark):
     assert warc.read_archive(spark, second).where("record_type = 'revisit'").count() == 4
 
 
+def test_warc_records_come_in_blocks():
+    payloads = [b"", b"\r\n", b"x\r\n\r\nWARC/1.1\r\n", b"y" * 5000, b"\r\n\r\n\r\n", "é\r".encode()]
+    data = b"".join(b"WARC/1.1\r\nA: %d\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (i, len(p), p) for i, p in enumerate(payloads))
+    for size in (1, 3, 7, 1000, len(data)):
+        found = list(warc.parse(data[k:k + size] for k in range(0, len(data), size)))
+        assert [p for _, p in found] == payloads and [f["A"] for f, _ in found] == [str(i) for i in range(len(payloads))]
+    for bad in (data[:-5], data.replace(b"Content-Length: 5000", b"Content-Length: 4999"), b"HTTP/1.1\r\n\r\n"):
+        with pytest.raises(ValueError):
+            list(warc.parse([bad]))
+
+
+def test_warc_payloads_with_separators(spark):
+    texts = ["\r\n\r\n", "a\r\n", "a\r\n\r\n", "\r", "\r\n\r\nb" * 50, "", "\n\r\n\r\n\r", "x" * 3_000_000]
+    path = shared_path(spark, "warc")
+    records = warc.payloads(spark.createDataFrame([(i, "u", t) for i, t in enumerate(texts)], "page_id long, url string, html string"))
+    warc.write_archive(warc.deduplicated(records), path, per_file=3)
+    assert {r["page_id"]: r["payload"] for r in warc.read_archive(spark, path).collect()} == dict(enumerate(texts))
+
+
 def test_warc_empty(spark):
     path = shared_path(spark, "warc")
     warc.write_archive(warc.deduplicated(warc.payloads(spark.createDataFrame([], PAGES))), path)
