@@ -85,9 +85,26 @@ def expected_runs(registry: DataFrame, *, scheduled: bool = False) -> DataFrame:
 
 def health_rows(plan: DataFrame, status: DataFrame, run_id: Column) -> DataFrame:
     """One row per expected run. A missing status is an unhealthy row; counts of other runs are 0."""
-    current = F.coalesce(F.col("run_id") == run_id, F.lit(False))
     found = status.withColumn("_found", F.lit(True)).withColumn("_ok", current_success(run_id))
-    joined = plan.join(found, PAIR, "left")
+    return _health_columns(plan.join(found, PAIR, "left"), run_id, PAIR)
+
+
+def health_rows_by_run(plan: DataFrame, status: DataFrame) -> DataFrame:
+    """health_rows for every ``expected_run_id`` of a plan at once, each with the status that was the latest then.
+
+    The window per pair holds its runs only, so it is bounded by the run calendar.
+    """
+    latest = Window.partitionBy(*PAIR).orderBy("_run", "_asked").rowsBetween(Window.unboundedPreceding, 0)
+    stated = status.select(*PAIR, F.col("run_id").alias("_run"), F.lit(0).alias("_asked"), F.struct(*[c for c in status.columns if c not in PAIR]).alias("_status"))
+    asked = plan.select(*PAIR, F.col("expected_run_id").alias("_run"), F.lit(1).alias("_asked"))
+    known = stated.unionByName(asked, allowMissingColumns=True).withColumn("_status", F.last("_status", ignorenulls=True).over(latest))
+    expected = F.col("expected_run_id")
+    joined = known.where("_asked = 1").select(*PAIR, F.col("_run").alias("expected_run_id"), "_status.*", F.col("_status").isNotNull().alias("_found"))
+    return _health_columns(joined.withColumn("_ok", current_success(expected)), expected, [*PAIR, "expected_run_id"])
+
+
+def _health_columns(joined: DataFrame, run_id: Column, keys: list[str]) -> DataFrame:
+    current = F.coalesce(F.col("run_id") == run_id, F.lit(False))
 
     def stated(name: str) -> Column:
         return F.when(F.col("_found"), F.col(name)).otherwise(F.lit("missing"))
@@ -96,7 +113,7 @@ def health_rows(plan: DataFrame, status: DataFrame, run_id: Column) -> DataFrame
         return F.when(current, F.coalesce(F.col(name), F.lit(0))).otherwise(F.lit(0)).cast("bigint")
 
     return joined.select(
-        *PAIR, F.coalesce("_ok", F.lit(False)).alias("healthy"), current.alias("current_run"),
+        *keys, F.coalesce("_ok", F.lit(False)).alias("healthy"), current.alias("current_run"),
         stated("execution_status").alias("execution_status"),
         F.when(F.col("_found"), F.coalesce("data_quality_status", F.lit("not_evaluated")))
         .otherwise(F.lit("not_evaluated")).alias("data_quality_status"),

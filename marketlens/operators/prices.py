@@ -75,11 +75,12 @@ def bounded_history(seen: DataFrame, keep: int = KEEP_OBSERVATIONS) -> DataFrame
     )
 
 
-def explode_history(legacy: DataFrame, history: str = "history") -> DataFrame:
-    """Legacy map {listing: [{date, price}]} to rows with their position."""
-    return legacy.select(F.explode(history).alias("listing_id", "_records")) \
-        .select("listing_id", F.posexplode("_records").alias("position", "_o")) \
-        .select("listing_id", "position", "_o.*")
+def explode_history(legacy: DataFrame, history: str = "history", keep: list[str] | None = None) -> DataFrame:
+    """Legacy map {listing: [{date, price}]} to rows with their position, beside the columns to keep."""
+    kept = keep or []
+    return legacy.select(*kept, F.explode(history).alias("listing_id", "_records")) \
+        .select(*kept, "listing_id", F.posexplode("_records").alias("position", "_o")) \
+        .select(*kept, "listing_id", "position", "_o.*")
 
 
 def without_date(observations: DataFrame, date: Column) -> tuple[DataFrame, DataFrame]:

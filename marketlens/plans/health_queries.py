@@ -80,23 +80,23 @@ def expected_runs(spark: SparkSession, d: str) -> DataFrame:
 
 @query("health_rows", f"""
 with {STATUS_SQL},
-plan as (select 'market' as vehicle_key, unnest(['click', 'view', 'error', 'unseen']) as source),
-day as (select * from hs where run_id = '2024-01-15')
-select plan.source, coalesce(healthy, false) as healthy, healthy is not null as current_run,
-       case when healthy is null then 'missing' when unlucky then 'degraded' else 'success' end as execution_status,
-       coalesce(fetched, 0) as fetched_record_count, coalesce(accepted, 0) as accepted_record_count,
-       coalesce(rejected, 0) as rejected_record_count, coalesce(failed, 0) as parse_failure_count,
-       case when healthy is null then 'missing_status' when unlucky then 'pagination_incomplete' else '' end as failure_reasons
-from plan left join day using (vehicle_key, source)
+plan as (select 'market' as vehicle_key, run_id as expected_run_id, source
+  from (select distinct run_id from hs), (select distinct source from hs union all select 'unseen'))
+select plan.source, expected_run_id, run_id = expected_run_id is true and healthy as healthy, run_id = expected_run_id is true as current_run,
+       case when run_id is null then 'missing' when unlucky then 'degraded' else 'success' end as execution_status,
+       case when run_id = expected_run_id then fetched else 0 end as fetched_record_count, case when run_id = expected_run_id then accepted else 0 end as accepted_record_count,
+       case when run_id = expected_run_id then rejected else 0 end as rejected_record_count, case when run_id = expected_run_id then failed else 0 end as parse_failure_count,
+       case when run_id is null then 'missing_status' when unlucky then 'pagination_incomplete' else '' end as failure_reasons
+from plan asof left join hs on plan.vehicle_key = hs.vehicle_key and plan.source = hs.source and plan.expected_run_id >= hs.run_id
 """)
 def health_rows(spark: SparkSession, d: str) -> DataFrame:
-    events = table(spark, d, "events")
-    sources = F.when(F.col("event_type") == "click", F.array(F.lit("click"), F.lit("unseen"))) \
-        .otherwise(F.array("event_type"))
-    plan = events.where(F.col("event_type").isin("click", "view", "error")).select("event_type").distinct() \
-        .select(F.lit("market").alias("vehicle_key"), F.explode(sources).alias("source"))
-    rows = H.health_rows(plan, statuses(spark, d).where("run_id = '2024-01-15'"), F.lit("2024-01-15"))
-    return rows.select("source", "healthy", "current_run", "execution_status", *H.COUNTS,
+    """Every run of the calendar expects every source that ever reported, and one that never did."""
+    status = settle(statuses(spark, d))
+    unseen = F.struct("vehicle_key", F.lit("unseen").alias("source"))
+    sources = status.select(F.explode(F.array(F.struct("vehicle_key", "source"), unseen)).alias("p")).select("p.*").distinct()
+    runs = status.select("vehicle_key", F.col("run_id").alias("expected_run_id")).distinct()
+    rows = H.health_rows_by_run(runs.join(sources, "vehicle_key"), status)
+    return rows.select("source", "expected_run_id", "healthy", "current_run", "execution_status", *H.COUNTS,
                        F.array_join("failure_reasons", ";").alias("failure_reasons"))
 
 
@@ -259,14 +259,16 @@ def manual_review(spark: SparkSession, d: str) -> DataFrame:
 # --- consistency --------------------------------------------------------------------------------------
 
 @query("id_set_difference", """
-select coalesce(a.k, b.k) as id, case when b.k is null then 'not_in_underlying_evidence' else 'missing_from_output' end as violation
-from (select distinct doc_id as k from labels where quality = 1) a
-full join (select distinct doc_id as k from documents where n_chars > 1000) b on a.k = b.k where a.k is null or b.k is null
+select coalesce(a.k, b.k) as id, coalesce(a.long, b.long) as long,
+       case when b.k is null then 'not_in_underlying_evidence' else 'missing_from_output' end as violation
+from (select distinct doc_id as k, quality = 1 as long from labels) a
+full join (select distinct doc_id as k, n_chars > 1000 as long from documents) b on a.k = b.k and a.long = b.long where a.k is null or b.k is null
 """)
 def id_set_difference(spark: SparkSession, d: str) -> DataFrame:
-    out = table(spark, d, "labels").where("quality = 1").select(F.col("doc_id").alias("id"))
-    base = table(spark, d, "documents").where("n_chars > 1000").select(F.col("doc_id").alias("id"))
-    return V.id_set_difference(out, base, ["id"])
+    """All labels, read as a claim about the length of their document, against all documents."""
+    out = table(spark, d, "labels").select(F.col("doc_id").alias("id"), (F.col("quality") == 1).alias("long"))
+    base = table(spark, d, "documents").select(F.col("doc_id").alias("id"), (F.col("n_chars") > 1000).alias("long"))
+    return V.id_set_difference(out, base, ["id", "long"])
 
 
 @query("row_contracts", """

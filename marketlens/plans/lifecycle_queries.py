@@ -203,13 +203,19 @@ def history_last_per_date(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("history_without_date", """
-select cast(user_id as varchar) as listing_id, count(*) as removed
-from events where cast(ts as date) = date '2024-01-05' group by all
+with h as (select cast(user_id as varchar) as listing_id, event_id, cast(ts as date) as day, cast(round(value * 100) as bigint) as price from events),
+o as (select listing_id, event_id, 0 as position, day, price from h union all select listing_id, event_id, 1, day + 1, price from h)
+select listing_id, event_id, position, cast(strftime(day, '%Y-%m-%d') as varchar) as date, price,
+       (select count(*) from o r where r.day = date '2024-01-05' and r.listing_id = o.listing_id) as removed
+from o where day <> date '2024-01-05'
 """)
 def history_without_date(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "events").select(
-        F.col("user_id").cast("string").alias("listing_id"), F.to_date("ts").cast("string").alias("date"))
-    return P.without_date(rows, F.lit("2024-01-05"))[1]
+    """Every event as a stored history of two dates; the kept observations, with how many their listing lost."""
+    stored = table(spark, d, "events").select("event_id", F.create_map(F.col("user_id").cast("string"), F.array(*[
+        F.struct(F.date_add(F.to_date("ts"), k).cast("string").alias("date"), F.round(F.col("value") * 100).cast("bigint").alias("price"))
+        for k in (0, 1)])).alias("history"))
+    kept, removed = P.without_date(P.explode_history(stored, keep=["event_id"]), F.lit("2024-01-05"))
+    return kept.join(removed, "listing_id", "left").withColumn("removed", F.coalesce("removed", F.lit(0)))
 
 
 @query("elapsed_between_sightings", """
@@ -370,13 +376,14 @@ def path_scope_classes(spark: SparkSession, d: str) -> DataFrame:
 @query("manifest_difference", """
 select coalesce(p, s) as path,
        case when s is null then 'published_not_present' else 'present_not_published' end as difference
-from (select distinct l_orderkey as p from lineitem where l_returnflag = 'R') a
-full join (select distinct o_orderkey as s from orders where o_orderstatus = 'F') b on p = s
+from (select distinct l_orderkey || '/' || l_linestatus as p from lineitem) a
+full join (select distinct o_orderkey || '/' || o_orderstatus as s from orders) b on p = s
 where p is null or s is null
 """)
 def manifest_difference(spark: SparkSession, d: str) -> DataFrame:
-    published = table(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("path"))
-    present = table(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("path"))
+    """All lines as published paths, all orders as present ones."""
+    published = table(spark, d, "lineitem").select(F.concat_ws("/", F.col("l_orderkey").cast("string"), "l_linestatus").alias("path"))
+    present = table(spark, d, "orders").select(F.concat_ws("/", F.col("o_orderkey").cast("string"), "o_orderstatus").alias("path"))
     return G.manifest_difference(published, present)
 
 

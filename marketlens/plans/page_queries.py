@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.functions import rules as R
 from marketlens.functions.payload import source_text
+from marketlens.functions.text import C1, REFERENCE, SHORT
 from marketlens.operators import extract as E
 from marketlens.plans.bindings import table
 from marketlens.plans.registry import query
@@ -14,26 +17,53 @@ from marketlens.session import spread
 from marketlens.sources import files as FS
 from marketlens.sources import snapshots as SN
 
-STRIPPED_SQL = """
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+#: Distinct references of the pages with the text they stand for, and all of them as one map.
+REFERENCES_SQL = f"""
+names(name, value) as (values {", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in sorted(html5.items()))}),
+refs as (select distinct unnest(regexp_extract_all(html, {_quoted(REFERENCE)})) as r from pages),
+parts as (select r, substr(r, 2) as name, regexp_extract(substr(r, 2), '^(?:{SHORT})') as short,
+  regexp_extract(r, '^&#[xX]?0*([0-9a-fA-F]+)', 1) as digits, regexp_matches(r, '^&#[xX]') as hexadecimal from refs),
+codes as (select *, case when not starts_with(r, '&#') then null when length(digits) > 8 then 65533
+  when hexadecimal then ('0x' || digits)::bigint else digits::bigint end as code from parts),
+decoded as (select r, case
+    when code is null then coalesce(f.value, s.value || substr(c.name, length(c.short) + 1), r)
+    when code > 1114111 or code between 55296 and 57343 then chr(65533)
+    else translate(chr(code::int), {_quoted("".join(C1))}, {_quoted("".join(C1.values()))}) end as t
+  from codes c left join names f on f.name = c.name left join names s on s.name = c.short),
+dm as (select map(list(r), list(t)) as m from decoded)
+"""
+
+
+def unescaped_sql(text: str) -> str:
+    """The text with its references decoded once; needs dm in scope."""
+    between, found = f"string_split_regex({text}, {_quoted(REFERENCE)})", f"regexp_extract_all({text}, {_quoted(REFERENCE)})"
+    return f"array_to_string(list_transform(list_zip({between}, {found}), lambda p: p[1] || coalesce(m[p[2]], '')), '')"
+
+
+SPACES_SQL = "' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)"
+STRIPPED_SQL = f"""
+{REFERENCES_SQL},
 shown as (
-  select page_id, url, html,
+  select page_id, url, html, m,
     array_to_string(list_filter(list_transform(string_split(
       regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
         '(?is)<script\\b[^>]*>.*?</script\\s*>', chr(1), 'g'), '(?is)<style\\b[^>]*>.*?</style\\s*>', chr(1), 'g'),
         '(?is)<noscript\\b[^>]*>.*?</noscript\\s*>', chr(1), 'g'), '(?is)<template\\b[^>]*>.*?</template\\s*>', chr(1), 'g'),
         '(?s)<!--.*?-->', chr(1), 'g'), '(?s)<[^>]*>', chr(1), 'g'), chr(1)),
-      lambda n: trim(replace(replace(replace(replace(replace(replace(n, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
-                '&#39;', chr(39)), '&nbsp;', chr(160)), '&amp;', '&'), ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11))),
+      lambda n: trim({unescaped_sql("n")}, {SPACES_SQL})),
       lambda n: n <> ''), ' ') as visible
-  from pages)
+  from pages, dm)
 """
 
 
 @query("page_diagnostics", f"""
 with {STRIPPED_SQL}
 select page_id, cast(octet_length(encode(html)) as bigint) as response_bytes, sha256(html) as response_sha256,
-       trim(replace(replace(replace(replace(replace(replace(regexp_extract(html, '(?is)<title\\b[^>]*>(.*?)</title\\s*>', 1),
-         '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&nbsp;', chr(160)), '&amp;', '&')) as page_title,
+       trim({unescaped_sql("regexp_extract(html, '(?is)<title" + chr(92) + "b[^>]*>(.*?)</title" + chr(92) + "s*>', 1)")}, {SPACES_SQL}) as page_title,
        cast(len(regexp_extract_all(html, '(?is)<script\\b')) as bigint) as script_count,
        false as next_data_present, contains(lower(html), 'itemlistelement') as item_list_marker_present,
        cast(len(list_distinct(list_filter(regexp_extract_all(html, '<a href="([^"]*)"', 1), lambda h: contains(h, '/t')))) as bigint) as listing_link_count,
