@@ -11,6 +11,7 @@ from marketlens.operators import claims as C
 from marketlens.operators import comparables as CO
 from marketlens.operators import duplicates as D
 from marketlens.operators import market as M
+from marketlens.operators.nodes import vin_claims
 from marketlens.plans.bindings import EARLY, LISTING_SQL, TEXT_SQL, ads, ids, listings, observations, OBS_SQL
 from marketlens.plans.registry import query
 from marketlens.session import settle
@@ -271,8 +272,8 @@ def vin_claim_evidence(spark: SparkSession, d: str) -> DataFrame:
             F.when(F.col("vin_claim").isNotNull(), other).alias("Vehicle Identification Number"),
             F.when(F.col("vin_claim").isNull() & (F.col("price") % 3 == 0), F.lit("SHORT-1")).alias("VIN"),
         ).alias("vehicle")))
-    return listings(spark, d).select(*ids(), vin_evidence(payload).alias("e")) \
-        .select(*ids(), "e.vin_claim", "e.vin_evidence_status")
+    claimed = vin_claims(listings(spark, d).select(*ids(), payload.alias("payload")), "payload")
+    return claimed.select(*ids(), vin_evidence(F.col("vin_claims")).alias("e")).select(*ids(), "e.vin_claim", "e.vin_evidence_status")
 
 
 @query("closest_other_source", f"""

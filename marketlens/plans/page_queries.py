@@ -11,6 +11,7 @@ from marketlens.functions import rules as R
 from marketlens.functions.payload import source_text
 from marketlens.functions.text import C1, REFERENCE, SHORT
 from marketlens.operators import extract as E
+from marketlens.operators.nodes import payload_leaves
 from marketlens.plans.bindings import table
 from marketlens.plans.registry import query
 from marketlens.session import spread
@@ -179,11 +180,17 @@ def text_rule_claims(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("payload_source_text", """
-select event_id, event_type || ' | k=' || replace(replace(props, '{"k": ', ''), '}', '') as source_text from events
+with k as (select *, replace(replace(props, '{"k": ', ''), '}', '') as k from events)
+select event_id, event_type || ' | k=' || k as source_text,
+       'a[0]=' || event_id || ' | a[1].t=' || event_type || ' | a[2][0].k=' || k || ' | b=x | z.k=' || k as nested_text from k
 """)
 def payload_source_text(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events").select(
-        "event_id", source_text([F.col("event_type"), F.lit("N/A")], F.col("props")).alias("source_text"))
+    """Leaves of the payload as it is, and of one that holds it in objects and lists."""
+    nested = F.concat(F.lit('{"z":'), "props", F.lit(',"b":" x","a":['), F.col("event_id").cast("string"), F.lit(',{"t":"'), "event_type",
+                      F.lit('"},['), "props", F.lit(',true,null," ",[]]]}'))
+    rows = payload_leaves(table(spark, d, "events").select("event_id", "event_type", "props", nested.alias("nested")), "props")
+    return payload_leaves(rows, "nested", "nested_text").select(
+        "event_id", source_text([F.col("event_type"), F.lit("N/A")], F.col("leaves")).alias("source_text"), "nested_text")
 
 
 # --- snapshot lines and files -----------------------------------------------------------------------

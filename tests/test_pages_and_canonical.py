@@ -14,6 +14,7 @@ from marketlens.functions.payload import source_text, vin_evidence
 from marketlens.functions.text import html_unescape
 from marketlens.operators import canonical as C
 from marketlens.operators import extract as E
+from marketlens.operators import nodes as N
 from marketlens.operators import routing as RT
 from marketlens.sources import files as FS
 from marketlens.sources import snapshots as SN
@@ -159,12 +160,12 @@ def test_vin_and_source_text(spark):
         {"Vehicle Identification Number": "1ftaaaaaaaaaaaaa1"}, {"a": [{"VIN": "short"}]}, {"listing": "1FTAAAAAAAAAAAAA1"},
         {"vin": ["1FTAAAAAAAAAAAAA1", "1FTAAAAAAAAAAAAA2"]}, {"text": 'x "vin": "1FTAAAAAAAAAAAAA1" y'}]
     df = spark.createDataFrame([(i, json.dumps(p)) for i, p in enumerate(payloads)], "i int, p string")
-    got = [r.e.vin_evidence_status for r in df.select("i", vin_evidence(F.col("p")).alias("e")).orderBy("i").collect()]
+    got = [r.e.vin_evidence_status for r in N.vin_claims(df, "p").select("i", vin_evidence(F.col("vin_claims")).alias("e")).orderBy("i").collect()]
     assert got == ["source_reported_format_valid_unverified", "source_reported_invalid_format_unverified", "not_reported",
                    "conflicting_source_reported_claims", "not_reported"]
     deep = json.dumps({"a": {"b": [1, True, None, {"c": " x "}]}, "d": ""})
-    text = spark.createDataFrame([("XLT", deep)], "t string, p string").select(
-        source_text([F.col("t"), F.lit("unknown")], F.col("p"))).first()[0]
+    text = N.payload_leaves(spark.createDataFrame([("XLT", deep)], "t string, p string"), "p").select(
+        source_text([F.col("t"), F.lit("unknown")], F.col("leaves"))).first()[0]
     assert text == "XLT | a.b[0]=1 | a.b[3].c=x"
 
 
@@ -207,11 +208,27 @@ def test_vin_claims_of_any_shape(spark):
         json.dumps({"vin": {"vin": vin}}), json.dumps({"vin": [vin, None, 1.5, {"x": 1}]}), json.dumps({"description": "d" * 50_000, "VIN": vin}),
         '{"vin": "\\u0031FTAAAAAAAAAAAAA1"}', json.dumps(deep), '{"vin": "\\ud800"}', "no json", None, json.dumps({"vin": 12})]
     df = spark.createDataFrame(list(enumerate(payloads)), "i int, p string")
-    got = [tuple(r.e)[:2] for r in df.select("i", vin_evidence(F.col("p")).alias("e")).orderBy("i").collect()]
+    got = [tuple(r.e)[:2] for r in N.vin_claims(df, "p").select("i", vin_evidence(F.col("vin_claims")).alias("e")).orderBy("i").collect()]
     valid, invalid, none = "source_reported_format_valid_unverified", "source_reported_invalid_format_unverified", "not_reported"
     assert got == [(None, none), (vin, valid), (vin, valid), (vin, valid), (vin, valid), (None, invalid), (None, none), (None, none), (None, invalid)]
 
 
+def test_payloads_of_any_depth(spark):
+    deep: object = {"vin": ["1FTAAAAAAAAAAAAA1", 7]}
+    for i in range(60):
+        deep = [deep] if i % 2 else {"a": deep}
+    rows = [(1, json.dumps(deep)), (2, '{"vin": 5}'), (3, None), (4, "no json"), (5, '{"b": 1, "a": {"vin": "x", "vin": "y"}}'), (6, '{"vin": [[1], true, " q "]}'), (6, '{"vin": [[1], true, " q "]}')]
+    df = spark.createDataFrame([(i, p, 0) for i, p in rows], "i int, p string, name int")
+    claims = sorted((r.i, r.vin_claims) for r in N.vin_claims(df, "p").collect())
+    assert claims == [(1, ["1FTAAAAAAAAAAAAA1", "7"]), (2, ["5"]), (3, []), (4, []), (5, ["y"]), (6, ["True", "q"]), (6, ["True", "q"])]
+    leaves = {r.i: r.leaves for r in N.payload_leaves(df, "p").collect()}
+    path = "[0].a" * 30 + ".vin"
+    assert leaves[1] == f"{path}[0]=1FTAAAAAAAAAAAAA1 | {path}[1]=7"
+    assert (leaves[2], leaves[3], leaves[4], leaves[5]) == ("vin=5", None, None, "a.vin=y | b=1")
+    assert N.vin_claims(df.limit(0), "p").count() == 0
+    assert spark.conf.get("spark.sql.variant.allowDuplicateKeys", "false") == "false"
+
+
 def test_structured_data_of_any_depth(spark):
     deep: object = {"@type": "Car", "name": "deep"}
     for _ in range(12):
