@@ -8,8 +8,8 @@ With a unigram model, a state keeps the best sum of scores. With a merge (BPE) m
 only where the two pieces stay apart when their joined text is merged on its own; each prefix then has
 exactly one path, which is the segmentation that merging gives. The ids are those of the model either way.
 
-Pieces do not cross the start of a word, so all paths meet there: texts are searched word by word, and
-equal words are searched once as long as a task remembers them.
+Pieces do not cross the start of a word, so all paths meet there: what lies between is committed. The distinct words of some
+hundred texts are searched together, boundary by boundary, and remembered as long as a task has room.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.llm.context_coding import Lookup
 from marketlens.llm.words import tidy
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -32,6 +33,16 @@ SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 PIECES = 1 << 24
 CACHE, PAIRS = 300_000, 200_000  # words, stretches and pairs that a task remembers; only time depends on them
+WORD = 40  # words of fewer characters are searched together
+_CODE, _ODD, _BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x632BE59BD9B4E019), np.uint64(0xD6E8FEB86659FD93)
+
+
+def _hash(text: str) -> int:
+    """64-bit hash of a piece, as it is built up character by character."""
+    h = 0
+    for c in text:
+        h = (h * int(_BASE) + ord(c) * int(_CODE) + int(_ODD)) % (1 << 64)
+    return h
 
 
 class Coder:
@@ -57,6 +68,7 @@ class Coder:
         self.value = [sp.get_score(i) for i in range(size)]
         self.beside = {t[k:k + 2] for t in self.score for k in range(len(t) - 1)}
         self.crossing = any(SPACE in t[1:] and t.strip(SPACE) for t in self.score)
+        self.by_hash = Lookup(np.array([_hash(t) for t in self.score], np.uint64).view(np.int64), np.array([i for _, i in self.score.values()], float))
         self.pairs: dict[int, bool] = {}
         self.spines: dict[int, tuple[bool, list[tuple[float, str, str]]]] = {}
         self.widest = 0
@@ -238,6 +250,85 @@ class Coder:
                     pending = ""
         return b"".join(out)
 
+    def learn(self, texts: Iterable[str | None]) -> None:
+        """Searches the words of some texts that are not remembered yet, all at once."""
+        if not self.merges or self.crossing:
+            return
+        new = {w for t in texts if t for w in t.replace(SPACE, " ").split(" ")}
+        missing = [w for w in new if w not in self.words]
+        if len(self.words) + len(missing) > CACHE:
+            self.words.clear()
+            missing = list(new)
+        missing = sorted((w for w in missing if 0 < len(w) < WORD), key=len)
+        start = 0
+        while start < len(missing):
+            most = len(missing[start]) * 5 // 4 + 2
+            end = start + 1
+            while end < len(missing) and len(missing[end]) <= most and end - start < 4096:
+                end += 1
+            for word, ids in zip(missing[start:end], self._search(missing[start:end])):
+                if ids is not None:
+                    self.words[word] = ids
+            start = end
+
+    def _allowed(self, keys: np.ndarray) -> np.ndarray:
+        """Which pairs (left * PIECES + right) stay apart."""
+        distinct, back = np.unique(keys, return_inverse=True)
+        known = [self.pairs.get(x) for x in distinct.tolist()]
+        for i, x in enumerate(known):
+            if x is None:
+                left, right = divmod(int(distinct[i]), PIECES)
+                known[i] = self._apart(left, right)
+        return np.array(known, bool)[back]
+
+    def _search(self, words: list[str]) -> list[bytes | None]:
+        """Ids of viterbi for many words with a space before each, boundary by boundary; None where it finds no way.
+
+        A word is at most a few windows long, so nothing is committed before its end, where all its paths meet.
+        """
+        n, size = len(words), np.array([len(w) + 1 for w in words])
+        width = int(size.max())
+        flat = np.frombuffer("".join(SPACE + w for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        row = np.repeat(np.arange(n), size)
+        column = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
+        codes, points = np.zeros((n, width), np.uint64), np.zeros((n, width), np.int64)
+        codes[row, column], points[row, column] = flat * _CODE + _ODD, flat.astype(np.int64)
+        ids = np.full((min(self.longest, width) + 1, n, width), -1, np.int64)
+        running = np.zeros((n, width), np.uint64)
+        for length in range(1, len(ids)):
+            at = width - length + 1
+            running = running[:, :at] * _BASE + codes[:, length - 1:]
+            value, hit = self.by_hash.find(np.ascontiguousarray(running).ravel().view(np.int64))
+            ids[length, :, :at] = np.where(hit, value, -1).reshape(n, at)
+        bad = np.zeros(n, bool)
+        piece, step = np.full((n, width + 1), -1, np.int64), np.zeros((n, width + 1), np.int64)
+        for k in range(1, width + 1):
+            todo = np.flatnonzero((size >= k) & ~bad)
+            for length in range(1, min(k, len(ids) - 1) + 1):
+                candidate = ids[length, todo, k - length]
+                at = np.flatnonzero(candidate >= 0)
+                if len(at):
+                    rows = todo[at]
+                    ok = self._allowed(piece[rows, k - length] * PIECES + candidate[at])
+                    piece[rows[ok], k], step[rows[ok], k] = candidate[at][ok], length
+                    todo = np.delete(todo, at[ok])
+                    if not len(todo):
+                        break
+            alone = ids[1, todo, k - 1] < 0
+            piece[todo[alone], k], step[todo[alone], k] = -2 - points[todo[alone], k - 1], 1
+            bad[todo[~alone]] = True
+        position, columns, every = np.where(bad, 0, size), [], np.arange(n)
+        while position.any():
+            columns.append(np.where(position > 0, piece[every, position], -1))  # no piece and no character is -1
+            position = position - step[every, position]
+        path = np.stack(columns[::-1], 1) if columns else np.zeros((n, 0), np.int64)
+        ends = np.concatenate([[0], np.cumsum((path != -1).sum(1))]) * 4
+        raw = path[path != -1].astype("<i4").tobytes()
+        out = [None if b else raw[x:y] for b, x, y in zip(bad.tolist(), ends[:-1].tolist(), ends[1:].tolist())]
+        for i in np.flatnonzero((path < -1).any(1) & ~bad):
+            out[i] = array("i", self._spell(array("i", out[i]))).tobytes()
+        return out
+
     def encode(self, text: str | None) -> list[int]:
         return array("i", self.packed(text)).tolist()
 
@@ -264,6 +355,8 @@ def encode(docs: DataFrame, model: str = MODEL, id_column: str = "doc_id", text_
         c = coder(model)
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
+                if at % 512 == 0:
+                    c.learn(batch.column(1).slice(at, 512).to_pylist())
                 texts = batch.column(1).slice(at, 64).to_pylist()
                 blobs = [c.packed(t) for t in texts]
                 ok = [c.decode(array("i", i)) == (t or "") for i, t in zip(blobs, texts)]

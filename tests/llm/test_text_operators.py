@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+import sentencepiece
 from pyspark.sql import types as T
 
 from marketlens.llm import jaccard_join, language_codes, license_scan, piece_coding, quality_rules, repeated_passages, secret_links, source_mix
@@ -230,7 +231,6 @@ def test_license_scan_edges(spark):
 
 
 def test_pieces_equal_the_library():
-    import sentencepiece
     data = open(piece_coding.MODEL, "rb").read()
     for proto in (data, data + b"\x12\x02\x18\x01"):  # the second one has the same pieces as a unigram model
         library, coder = sentencepiece.SentencePieceProcessor(model_proto=proto), piece_coding.Coder(proto)
@@ -241,6 +241,8 @@ def test_pieces_equal_the_library():
         for t in texts:
             ids = coder.encode(t)
             assert coder.decode(ids) == t.replace("▁", " ")
+            coder.learn([t])
+            assert coder.encode(t) == ids
             if coder.merges:
                 assert ids == library.encode(t)
             else:  # the library adds in single precision
