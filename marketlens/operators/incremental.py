@@ -128,23 +128,34 @@ def advance(state: DataFrame, runs: DataFrame, accepted: DataFrame) -> DataFrame
     return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in state.schema.fields])
 
 
-def events_of(state: DataFrame, runs: DataFrame) -> DataFrame:
-    """First sights and changes made by the given runs."""
-    here = runs.select(*SOURCE, F.col("run_id").alias("last_evaluated_run_id"))
-    changed = F.col("previous_state").isNull() | (F.col("previous_state") != F.col("lifecycle_state"))
-    return state.join(here, [*SOURCE, "last_evaluated_run_id"], "left_semi").where(changed).select(
+def is_event() -> Column:
+    """Whether a state row is a first sight or a change made by the run it was evaluated at."""
+    return F.col("previous_state").isNull() | (F.col("previous_state") != F.col("lifecycle_state"))
+
+
+def event_columns(rows: DataFrame) -> DataFrame:
+    return rows.select(
         *LISTING, F.col("last_evaluated_run_id").alias("run_id"), F.col("last_evaluated_at").alias("event_at"),
         "previous_state", F.col("lifecycle_state").alias("new_state"),
         F.col("lifecycle_state_reason").alias("reason"))
 
 
-def prune(state: DataFrame, keep: int = MAX_RETIRED_PER_SOURCE) -> tuple[DataFrame, DataFrame]:
-    """Remaining state and the deletion records of retired listings over the age or count limit."""
-    gone = retired_to_prune(state, keep=keep)
-    left = state.join(gone.select(*LISTING), LISTING, "left_anti")
-    payload = F.to_json(F.struct(*sorted(state.columns)), {"ignoreNullFields": "false"})
-    records = gone.select(
+def events_of(state: DataFrame, runs: DataFrame) -> DataFrame:
+    """First sights and changes made by the given runs."""
+    here = runs.select(*SOURCE, F.col("run_id").alias("last_evaluated_run_id"))
+    return event_columns(state.join(here, [*SOURCE, "last_evaluated_run_id"], "left_semi").where(is_event()))
+
+
+def deletion_records(gone: DataFrame) -> DataFrame:
+    """Records of pruned state rows that carry their ``reason``."""
+    payload = F.to_json(F.struct(*sorted(c for c in gone.columns if c != "reason")), {"ignoreNullFields": "false"})
+    return gone.select(
         *LISTING, "reason", "first_seen_at", "last_seen_at", "observation_count",
         F.col("lifecycle_state").alias("final_lifecycle_state"),
         F.octet_length(payload).cast("bigint").alias("listing_bytes"), F.sha2(payload, 256).alias("listing_sha256"))
-    return left, records
+
+
+def prune(state: DataFrame, keep: int = MAX_RETIRED_PER_SOURCE) -> tuple[DataFrame, DataFrame]:
+    """Remaining state and the deletion records of retired listings over the age or count limit."""
+    gone = retired_to_prune(state, keep=keep)
+    return state.join(gone.select(*LISTING), LISTING, "left_anti"), deletion_records(gone)
