@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions.ids import stable_id
 from marketlens.functions.text import codes_in_order, tokens_text, trim_tokens
+from marketlens.session import small_side
 
 VIN_VALID = "source_reported_format_valid_unverified"
 # Tolerances as (km, price) and confidence as (label, value).
@@ -23,6 +24,7 @@ MEDIUM_TOLERANCE = (1000, 1500)
 LOW_TOLERANCE = (3000, 3000)
 HIGH, MEDIUM, LOW = ("high", 0.98), ("medium", 0.78), ("low", 0.56)
 CELL = 3000
+SPLIT = 1000  # rows of one side of a cell that one unit of work may have
 VIN_REASON = "exact_source_reported_vin_claim_match"
 COMPONENTS = ["year", "make", "model", "trim_tokens", "mileage_km", "price_cad", "dealer", "location"]
 
@@ -98,23 +100,50 @@ def vin_matches(found: DataFrame) -> DataFrame:
     return named.join(counts, ["vehicle_key", "vin", "source"]).select("profile_id", (F.col("every") - F.col("own")).alias("n"))
 
 
+CELL_KEYS = ["_vehicle", "_year", "_make", "_model", "_p", "_m"]
+
+
+def _split_dense(near: DataFrame, around: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a part number each (``_i`` of near, ``_j`` of around), so that no cell is one unit of work.
+
+    A histogram of the cells gives each side of a dense cell as many parts as it has times ``SPLIT`` rows; a row has the part
+    of its own side and meets all parts of the other one. There are at most rows / SPLIT dense cells per side.
+    """
+    def parts(side: DataFrame, name: str) -> DataFrame:
+        return side.groupBy(*CELL_KEYS).agg(F.ceil(F.count("*") / F.lit(SPLIT)).cast("int").alias(name)).where(F.col(name) > 1)
+
+    dense = small_side(parts(near, "_ni").join(parts(around, "_nj"), CELL_KEYS, "full"))
+
+    def dealt(side: DataFrame, row: str, own: str, own_parts: str, other: str, other_parts: str) -> DataFrame:
+        every = F.sequence(F.lit(0), F.coalesce(other_parts, F.lit(1)) - 1)
+        return side.join(dense, CELL_KEYS, "left").withColumn(
+            own, F.pmod(F.xxhash64(row), F.coalesce(own_parts, F.lit(1))).cast("int")).withColumn(
+            other, F.explode(every)).drop("_ni", "_nj")
+
+    return dealt(near, "l_profile_id", "_i", "_ni", "_j", "_nj"), dealt(around, "r_profile_id", "_j", "_nj", "_i", "_ni")
+
+
 def band_pairs(found: DataFrame) -> DataFrame:
-    """Profiles of two sources that match by year, make, model, price and mileage, without a common number."""
-    left, right, ordered, same_vehicle = _sides(found)
-    keyed = (F.col("l_year") != 0) & (F.col("l_make") != "") & (F.col("l_model") != "")
+    """Profiles of two sources that match by year, make, model, price and mileage, without a common number.
+
+    Cells of the size of the tolerance meet their neighbours; dense cells are split (``_split_dense``).
+    """
+    left, right, ordered, _ = _sides(found)
+
+    def celled(side: DataFrame, name: str) -> DataFrame:
+        return side.withColumns({f"_{c}": F.col(f"{name}_{c}") for c in ("year", "make", "model")} | {"_vehicle": F.col(f"{name}_vehicle_key")}).where(
+            (F.col("_year") != 0) & (F.col("_make") != "") & (F.col("_model") != "") & F.col(f"{name}_price_cad").isNotNull() & F.col(f"{name}_mileage_km").isNotNull())
+
     lp, lm = _cells(F.col("l_price_cad"), F.col("l_mileage_km"))
     rp, rm = _cells(F.col("r_price_cad"), F.col("r_mileage_km"))
-    near = left.where(keyed).withColumn("_p", lp).withColumn("_m", lm)
-    around = right.where(F.col("r_price_cad").isNotNull() & F.col("r_mileage_km").isNotNull()) \
-        .withColumn("_p", F.explode(F.sequence(rp - 1, rp + 1))) \
+    near = celled(left, "l").withColumn("_p", lp).withColumn("_m", lm)
+    around = celled(right, "r").withColumn("_p", F.explode(F.sequence(rp - 1, rp + 1))) \
         .withColumn("_m", F.explode(F.sequence(rm - 1, rm + 1)))
-    equal = [F.col(f"l_{c}") == F.col(f"r_{c}") for c in ("year", "make", "model")]
+    near, around = _split_dense(near, around)
     km = F.abs(F.col("l_mileage_km") - F.col("r_mileage_km"))
     price = F.abs(F.col("l_price_cad") - F.col("r_price_cad"))
     band = (km <= LOW_TOLERANCE[0]) & (price <= LOW_TOLERANCE[1])
     not_vin = ~F.coalesce(F.col("l_vin") == F.col("r_vin"), F.lit(False))
-    on = reduce(lambda a, b: a & b, equal, same_vehicle) & ordered & band & not_vin & \
-        (near["_p"] == around["_p"]) & (near["_m"] == around["_m"])
 
     same_trim = F.col("l_trim_tokens") == F.col("r_trim_tokens")
     same_dealer = F.col("l_dealer") == F.col("r_dealer")
@@ -135,7 +164,7 @@ def band_pairs(found: DataFrame) -> DataFrame:
         .otherwise(F.array(F.lit("mileage_within_3000_km"), F.lit("price_within_3000_cad")))
     # The cheap band test guards the list building, which the planner moves into the join condition.
     supported = F.when(band & ordered, F.size(support) > 0)
-    banded = near.join(around, on).where(supported).withColumn("_support", support).select(
+    banded = near.join(around, [*CELL_KEYS, "_i", "_j"]).where(ordered & band & not_vin).where(supported).withColumn("_support", support).select(
         *_pair_columns(),
         F.when(medium, F.lit(MEDIUM[0])).otherwise(F.lit(LOW[0])).alias("confidence"),
         F.when(medium, F.lit(MEDIUM[1])).otherwise(F.lit(LOW[1])).alias("confidence_score"),
@@ -152,6 +181,20 @@ def _pair_columns() -> list[Column]:
     ]
 
 
+def profile_members(listings: DataFrame) -> DataFrame:
+    """Each listing with its profile's smallest listing id: with profile pairs under the same names, all links without their expansion."""
+    first = listings.groupBy("profile_id").agg(F.min("canonical_listing_id").alias("representative"), F.count("*").alias("members"))
+    return listings.select("vehicle_key", "source", "canonical_listing_id", "profile_id").join(first, "profile_id")
+
+
+def named_pairs(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Profile pairs by their representatives."""
+    named = members.select("profile_id", "representative").distinct()
+    for side in ("left", "right"):
+        pairs = pairs.join(named.select(F.col("profile_id").alias(f"{side}_profile"), F.col("representative").alias(side)), f"{side}_profile")
+    return pairs.drop("left_profile", "right_profile")
+
+
 def listing_pairs(pairs: DataFrame, listings: DataFrame) -> DataFrame:
     """Expand profile pairs to listing pairs with an order-independent candidate id."""
     def side(name: str) -> DataFrame:
@@ -195,11 +238,10 @@ def candidate_index(found: DataFrame, listings: DataFrame) -> DataFrame:
 
 
 def listing_duplicate_ids(candidates: DataFrame) -> DataFrame:
-    """Sorted candidate ids per listing, from listing pairs."""
+    """Candidate ids of each listing in order, one row each with its position, from listing pairs."""
     both = F.explode(F.array("left_listing_id", "right_listing_id")).alias("canonical_listing_id")
-    return candidates.select("vehicle_key", "candidate_id", both) \
-        .groupBy("vehicle_key", "canonical_listing_id") \
-        .agg(F.array_sort(F.collect_set("candidate_id")).alias("duplicate_candidate_ids"))
+    order = Window.partitionBy("vehicle_key", "canonical_listing_id").orderBy("candidate_id")
+    return candidates.select("vehicle_key", "candidate_id", both).distinct().withColumn("position", F.row_number().over(order))
 
 
 def best_cross_source_match(base: DataFrame, other: DataFrame, *, price: int = 100,

@@ -237,6 +237,46 @@ def duplicate_index(spark: SparkSession, d: str) -> DataFrame:
         "duplicate_candidate_reasons", F.array_join("duplicate_candidate_reasons", ";"))
 
 
+PROFILE_SQL = f"""
+{DUPLICATE_SQL},
+pf as (select *, min(id) over w as representative, count(*) over w as members from t
+  window w as (partition by vehicle_key, source, year, make, model, tok, m, p, dealer, location, vin))
+"""
+
+
+@query("duplicate_profile_members", f"""
+with {PROFILE_SQL}
+select vehicle_key, source, id as canonical_listing_id, representative, members from pf
+""")
+def duplicate_profile_members(spark: SparkSession, d: str) -> DataFrame:
+    """Membership of every listing in a profile of identical identity components."""
+    return D.profile_members(identities(spark, d)).drop("profile_id")
+
+
+@query("duplicate_profile_pairs", f"""
+with {PROFILE_SQL}
+select distinct cand.vehicle_key, confidence, case confidence when 'high' then 0.98 when 'medium' then 0.78 else 0.56 end::double as confidence_score,
+       reasons, l.representative as left, r.representative as right, l.members as left_members, r.members as right_members
+from cand join pf l on l.id = lid join pf r on r.id = rid
+""")
+def duplicate_profile_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """All duplicate links as pairs of profiles; with the members, no link between listings is lost."""
+    pairs, found = matched(spark, d)
+    return D.named_pairs(pairs, D.profile_members(found)).withColumn("reasons", F.array_join("reasons", ";"))
+
+
+@query("duplicate_candidate_ids", f"""
+with {DUPLICATE_SQL},
+i as (select vehicle_key, lid, rid, 'duplicate_candidate_' || sha256(concat_ws(chr(31), vehicle_key, lid, rid))[1:24] as c from cand),
+b as (select vehicle_key, lid as id, c from i union select vehicle_key, rid, c from i)
+select vehicle_key, id as canonical_listing_id, c as candidate_id, row_number() over (partition by vehicle_key, id order by c) as position from b
+""")
+def duplicate_candidate_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Sorted candidate ids of each listing, one row each."""
+    pairs, found = matched(spark, d)
+    return D.listing_duplicate_ids(D.listing_pairs(pairs, found))
+
+
 @query("identity_fingerprints", f"""
 with {DUPLICATE_SQL}
 select vehicle_key, source, id as canonical_listing_id, m // 1000 as mileage_bucket_1000, m // 3000 as mileage_bucket_3000,
