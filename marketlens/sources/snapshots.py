@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlens.functions.payload import strict_json
 from marketlens.functions.text import codes_in_order
-from marketlens.session import small_side
+from marketlens.session import settle, small_side
 
 OVERFLOW = "_overflow"
 # Columns a snapshot must have, and all columns it may have.
@@ -74,6 +74,60 @@ def read_snapshots(spark: SparkSession, path: str, columns: Sequence[str] = SNAP
         F.exists(beyond, lambda c: c.isNotNull()).alias("malformed"), "file")
 
 
+def quoted_records(spark: SparkSession, path: str) -> DataFrame:
+    """file, number, text and open of each CSV record; quoted fields may hold line ends, and files are read by many tasks.
+
+    Lines are read from splits of a file. A first pass counts the quotes of each split; their running parity tells whether a split
+    begins within quotes. A second pass finds the lines that begin a record and numbers them, splits counting up. Only
+    records of several lines are put together by key. Blank lines between records do not count. A record whose quotes never close
+    takes the rest of the file and is marked ``open``.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("n"), F.col("value").alias("line"))
+    lines = settle(lines.withColumn("quotes", F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))))
+    files, split = Window.partitionBy("file").orderBy("at"), Window.partitionBy("file", "at").orderBy("n")
+    before = files.rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.groupBy("file", "at").agg(F.sum("quotes").alias("quotes"))
+    blocks = blocks.select("file", "at", F.coalesce(F.sum("quotes").over(before), F.lit(0)).alias("_quotes_before"))  # a row per split
+    inside = F.col("_quotes_before") + F.sum("quotes").over(split) - F.col("quotes")
+    begun = settle(lines.join(small_side(blocks), ["file", "at"]).withColumn("begins", (inside % 2 == 0)).withColumn(
+        "begins", F.col("begins") & ~((F.btrim("line", F.lit("\r ")) == "") & (F.col("quotes") == 0))).withColumn(
+        "blank", (inside % 2 == 0) & ~F.col("begins")).where("not blank").drop("blank", "_quotes_before"))
+    counts = begun.groupBy("file", "at").agg(F.count_if("begins").alias("records"))
+    firsts = small_side(counts.select("file", "at", F.coalesce(F.sum("records").over(before), F.lit(0)).alias("_first")))
+    numbered = begun.join(firsts, ["file", "at"]).withColumn(
+        "number", F.col("_first") + F.sum(F.col("begins").cast("bigint")).over(split) - 1)
+    whole = F.col("quotes") % 2 == 0
+    single = numbered.where("begins").where(whole).select("file", "number", F.col("line").alias("text"), F.lit(False).alias("open"))
+    several = numbered.where(~(F.col("begins") & whole)).groupBy("file", "number").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "n", "line"))), lambda x: x["line"]), "\n").alias("text"),
+        (F.sum("quotes") % 2 == 1).alias("open"))
+    return single.union(several).withColumn("text", F.regexp_replace("text", "\r$", ""))
+
+
+def read_numbered_snapshots(spark: SparkSession, path: str, columns: Sequence[str] = SNAPSHOT_COLUMNS) -> DataFrame:
+    """Rows of snapshot files with their position: row, malformed, file, source_record_index (from 0 below the header).
+
+    A record beyond its header, or with quotes that never close, is one malformed row and counts.
+    """
+    records = settle(quoted_records(spark, path).withColumn("text", F.regexp_replace("text", "^\ufeff", "")))
+    most = 1 + (records.select(F.max(F.length("text") - F.length(F.replace("text", F.lit(","), F.lit(""))))).first()[0] or 0)
+    cells = F.from_csv("text", ", ".join(f"_{i} STRING" for i in range(most)), {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "maxColumns": str(most + 1), "maxCharsPerColumn": "-1"})
+    parsed = records.select("file", "number", "open", F.array(*[cells[f"_{i}"] for i in range(most)]).alias("_cells"))
+    headers = small_side(parsed.where("number = 0").select("file", F.transform(F.array_compact("_cells"), lambda c: F.btrim(c, F.lit("\r "))).alias("_names")))
+    named = parsed.where("number > 0").join(headers, "file")
+
+    def cell(name: str) -> Column:
+        return F.try_element_at("_cells", F.nullif(F.array_position("_names", F.lit(name)).cast("int"), F.lit(0)))
+
+    beyond = F.slice("_cells", F.size("_names") + 1, F.lit(most + 1))
+    return named.select(
+        F.struct(*[cell(c).alias(c) for c in columns]).alias("row"),
+        (F.col("open") | F.exists(beyond, lambda c: c.isNotNull())).alias("malformed"), "file",
+        (F.col("number") - 1).alias("source_record_index"))
+
+
 def parse_lines(lines: DataFrame, line: str, columns: Sequence[str]) -> DataFrame:
     """CSV text lines held in a column, with the same overflow rule as files."""
     fields = ", ".join(f"`{c}` STRING" for c in [*columns, OVERFLOW])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marketlens.functions.numbers import half_even, straight_line_distance
 from marketlens.operators import duplicates as D
 from marketlens.operators import market as M
+from marketlens.operators import quantiles as Q
 
 ROW = "vehicle_key string, id string, year int, price_cad bigint, mileage_km bigint"
 
@@ -57,6 +58,32 @@ def test_rounding_and_distance(spark):
     assert abs(row.d.distance_km - 352) <= 3 and row.d.method == "geodesic_city_center"
 
 
+def test_quantiles_of_large_groups_are_narrowed(spark, monkeypatch):
+    import random
+    import statistics
+    rnd = random.Random(3)
+    groups = {"a": [rnd.randint(-10**9, 10**9) for _ in range(800)], "b": [5] * 50, "c": [1], None: [rnd.randint(0, 40) for _ in range(300)],
+              "d": [rnd.choice((0, 10**12)) for _ in range(101)], "e": list(range(64)) + [2**40]}
+    rows = [(g, v) for g, values in groups.items() for v in values] + [("a", None), ("f", None)]
+    hist = spark.createDataFrame(rows, "g string, v bigint").groupBy("g", "v").agg(F.count("*").alias("n"))
+    points = (0.0, 0.25, 0.5, 0.9, 1.0)
+
+    def want(values):
+        values, out = sorted(values), []
+        for p in points:
+            at = p * (len(values) - 1)
+            low, high = int(at), -int(-at // 1)
+            out.append(values[low] if low == high else values[low] * (high - at) + values[high] * (at - low))
+        return out
+    monkeypatch.setattr(Q, "BINS", 16)
+    for few in (0, 20, 10**6):
+        found = {r.g: r.q for r in Q.exact_quantiles(hist, ["g"], "v", "n", points, "q", few=few).collect()}
+        assert found.keys() == groups.keys()
+        for g, values in groups.items():
+            assert found[g] == pytest.approx(want(values), rel=1e-12), (few, g)
+    assert statistics.median(groups["a"]) == pytest.approx(found["a"][2])
+
+
 LISTING = ("vehicle_key string, source string, canonical_listing_id string, year int, make string, model string, "
            "trim string, price_cad bigint, mileage_km bigint, dealer string, location string, vin_claim string, "
            "vin_evidence_status string")
@@ -108,6 +135,18 @@ def test_pairs_equal_brute_force(spark):
         assert index[name].duplicate_candidate_count == sum(name in pair for pair in wanted)
 
 
+def test_dense_cells_are_split(spark, monkeypatch):
+    rows = [listing(s, f"{s}{i}", 50000 + 37 * i % 2900, 60000 + 53 * i % 2900, dealer="d") for s in ("A", "B", "C") for i in range(45)]
+    found = D.profiles(D.with_profile(D.identity_components(spark.createDataFrame(rows, LISTING)))).cache()
+
+    def pairs():
+        return sorted((r.left_profile, r.right_profile, r.confidence, tuple(r.reasons)) for r in D.band_pairs(found).collect())
+    whole = pairs()
+    assert len(whole) == 3 * 45 * 45 and len(set(whole)) == len(whole)
+    monkeypatch.setattr(D, "SPLIT", 4)
+    assert pairs() == whole
+
+
 def test_copies_meet_as_profiles(spark):
     rows = [listing("A", f"a{i}") for i in range(40)] + [listing("B", f"b{i}", 50100) for i in range(30)]
     found = D.with_profile(D.identity_components(spark.createDataFrame(rows, LISTING)))

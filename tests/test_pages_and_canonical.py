@@ -252,6 +252,58 @@ def test_csv_columns_go_by_header_name(spark, tmp_path):
                     "B2": (None, None, False), "C1": ("http://c", None, False), "C2": ("http://c", None, True)}
 
 
+def test_quoted_records_are_numbered_across_splits(spark, tmp_path):
+    import csv
+    import io
+    import random
+    rnd = random.Random(7)
+    files = {}
+    for name, n, cols in (("a", 400, ["listing_id", "url", "mileage"]), ("b", 90, ["url", "more", "listing_id"]), ("c", 0, ["url", "listing_id"])):
+        out = io.StringIO()
+        writer = csv.writer(out, lineterminator="\n")
+        writer.writerow(cols)
+        rows = []
+        for i in range(n):
+            text = rnd.choice(["plain", 'q"uote', "two\nlines", "a,b", '"\n\n"', "", "x" * rnd.randint(1, 60), "é\n" * 5])
+            rows.append([f"{name}{i}" if c == "listing_id" else text if c == "url" else str(i) for c in cols])
+            writer.writerow(rows[-1])
+            if i % 50 == 7:
+                out.write("\n")
+        files[name] = [dict(zip(cols, r)) for r in rows]
+        (tmp_path / f"{name}.csv").write_text(out.getvalue(), encoding="utf-8")
+    (tmp_path / "d.csv").write_text('listing_id,url\nd0,x,more\nd1,"never\nclosed\n', encoding="utf-8")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        found = SN.read_numbered_snapshots(spark, str(tmp_path), ["listing_id", "url", "mileage"])
+        rows = {(r.file[-5:-4], r.source_record_index): r for r in found.collect()}
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 8
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(rows) == 492
+    for name, want in files.items():
+        for i, w in enumerate(want):
+            r = rows[name, i]
+            assert (r.row.listing_id, r.row.url or "", r.row.mileage, r.malformed) == (w["listing_id"], w["url"], w.get("mileage"), False)
+    assert [rows["d", i].malformed for i in (0, 1)] == [True, True]
+
+
+def test_large_files_are_digested_in_blocks(spark, tmp_path, monkeypatch):
+    (tmp_path / "sub dir").mkdir()
+    data = {"a.bin": bytes(range(256)) * 50, "sub dir/b é.bin": b"z", "c.bin": b"x" * 9}
+    for name, content in data.items():
+        (tmp_path / name).write_bytes(content)
+    for whole in (0, 10, 10**6):
+        listed = {r.path: (r.size_bytes, r.sha256) for r in FS.file_inventory(spark, str(tmp_path), digest=True, whole=whole).collect()}
+        assert listed == {f"{tmp_path}/{n}": (len(c), hashlib.sha256(c).hexdigest()) for n, c in data.items()}
+    monkeypatch.setattr(FS, "BLOCK_BYTES", 7)
+    import pyarrow as pa
+    path = f"file:{tmp_path}/a.bin"
+    batch = pa.RecordBatch.from_arrays([pa.array([path]), pa.array([1]), pa.array([0], pa.timestamp("us"))], ["path", "length", "modificationTime"])
+    assert next(FS.streamed_digests(iter([batch]))).column(3)[0].as_py() == hashlib.sha256(data["a.bin"]).hexdigest()
+
+
 def test_character_references_equal_the_library(spark):
     texts = ["caf&eacute; &#8217;s &#x27;x&#X27; &copy; 1 &copy 2", "&amp;eacute; &amp;#39; &amp;amp;lt;", "&nbsp;&lt;&gt;&quot;&#39;", "&unknown; &x & && &;",
              "&notit; &notin; &copyfoo; &amp", "&#128512;&#x1F600;&#x80;&#150;&#0000065;", "&#xD800; &#x110000; &#99999999999999999999; &#xFFFFFFFFFFFFFFFFF;",
