@@ -15,7 +15,8 @@ from marketlens.operators import health as H
 from marketlens.operators import routing as RT
 from marketlens.plans.bindings import CURRENT_YEAR, LISTING_SQL, TEXT_SQL, ads, ids, listings, table
 from marketlens.plans.registry import query
-from marketlens.session import settle
+from marketlens.session import settle, shared_path, small_side
+from marketlens.sources import snapshots as SN
 
 KEYS = "vehicle_key, source, source_record_index, listing_id"
 
@@ -484,12 +485,12 @@ SNAPSHOT_FIELDS = {
 }
 
 
-def snapshot(spark: SparkSession, d: str) -> DataFrame:
+def snapshot(spark: SparkSession, d: str, *more: str) -> DataFrame:
     """Listings as all-string snapshot rows; 'O' is a source whose geography is quarantined."""
     row = F.struct(*[F.expr(e).alias(n) for n, e in SNAPSHOT_FIELDS.items()])
     return listings(spark, d).select(
         *RT.RUN_KEYS, "source_record_index", row.alias("row"),
-        (F.col("price") % 43 == 0).alias("malformed"), (F.col("source") == "O").alias("quarantined"))
+        (F.col("price") % 43 == 0).alias("malformed"), (F.col("source") == "O").alias("quarantined"), *more)
 
 
 CANONICAL_SQL = f"""
@@ -567,6 +568,60 @@ def canonical_reconciliation(spark: SparkSession, d: str) -> DataFrame:
     return C.reconcile(C.canonical_records(snapshot(spark, d), current_year=CURRENT_YEAR))
 
 
+def snapshot_files(spark: SparkSession, d: str) -> tuple[str, DataFrame]:
+    """Snapshot rows as CSV files of the shared folder, one per vehicle and source, with line ends in quoted fields; and what each file is.
+
+    A malformed row has a cell beyond the header.
+    """
+    keys = [*RT.RUN_KEYS, "quarantined"]
+    rows = snapshot(spark, d, "listing_id").withColumn("row", F.col("row").withField("dealer", F.concat(F.col("row.dealer"), F.lit('\n"branch", 2\n'))))
+    line = F.concat(F.to_csv("row", {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}),
+                    F.when(F.col("malformed"), F.lit(",beyond")).otherwise(F.lit("")))
+    named = settle(rows.select(*keys, F.md5(F.concat_ws("/", "vehicle_key", "source").cast("binary")).alias("snapshot"), F.struct(F.col("source_record_index").cast("bigint").alias("i"), "listing_id").alias("place"), line.alias("value")))
+    about = small_side(named.select("snapshot", *keys).distinct())
+    header = about.select("snapshot", F.struct(F.lit(-1).cast("bigint").alias("i"), F.lit("").alias("listing_id")).alias("place"), F.lit(",".join(SNAPSHOT_FIELDS)).alias("value"))
+    path = shared_path(spark, "snapshots")
+    named.select("snapshot", "place", "value").union(header).repartition("snapshot").sortWithinPartitions("snapshot", "place").drop("place").write.partitionBy("snapshot").text(path)
+    return path, about
+
+
+@query("snapshot_file_stages", CANONICAL_SQL + """
+, f as (select *, row_number() over (partition by vehicle_key, source order by source_record_index, listing_id) - 1 as place from c),
+g as (select *, case when malformed then null else 'listing_' || sha256(concat_ws(chr(31), vehicle_key, source, coalesce(lid, u, 'row-' || place)))[1:24] end as id from f)
+select vehicle_key, source, place as source_record_index, record_stage, id as canonical_listing_id,
+       case when not malformed then price end as price_cad, case when malformed then 'malformed_column_count' else '' end as failures,
+       'raw#record=' || place as raw_record_ref
+from g
+""")
+def snapshot_file_stages(spark: SparkSession, d: str) -> DataFrame:
+    """From snapshot files to canonical stages: records get their number in the file, reader faults are counted rows."""
+    path, about = snapshot_files(spark, d)
+    read = SN.read_numbered_snapshots(spark, path, list(SNAPSHOT_FIELDS)).withColumn("snapshot", F.regexp_extract("file", "snapshot=([0-9a-f]+)", 1))
+    out = C.canonical_records(read.join(about, "snapshot").drop("snapshot", "file"), current_year=CURRENT_YEAR)
+    return out.select(
+        "vehicle_key", "source", "source_record_index", "record_stage", "canonical_listing_id", "normalized.price_cad",
+        F.array_join("parse_failure_reasons", ";").alias("failures"), "raw_record_ref")
+
+
+@query("adapter_faults", CANONICAL_SQL + """
+, seen as (select vehicle_key, source, count(*) as n, count(distinct source_record_index) as k, min(source_record_index) as lo, max(source_record_index) as hi
+  from c where price % 97 > 0 group by all),
+told as (select vehicle_key, source, count(*) as fetched, sum(price) % 3 > 0 as balanced from c group by all having sum(price) % 5 > 0),
+j as (select coalesce(s.vehicle_key, t.vehicle_key) as vehicle_key, coalesce(s.source, t.source) as source, fetched, balanced, coalesce(n, 0) as n, k, lo, hi
+  from told t full join seen s on t.vehicle_key = s.vehicle_key and t.source = s.source)
+select vehicle_key, source, unnest(list_filter([case when fetched is null then 'adapter_report_missing' end, case when fetched <> n then 'fetched_count_mismatch' end,
+  case when k <> n or lo <> 0 or hi <> n - 1 then 'record_index_discontinuity' end,
+  case when fetched is not null and not balanced then 'not_reconciled' end], lambda x: x is not null)) as fault
+from j
+""")
+def adapter_faults(spark: SparkSession, d: str) -> DataFrame:
+    """Adapter reports against records of which some are lost on the way."""
+    rows = snapshot(spark, d).select(*RT.RUN_KEYS, "source_record_index", F.regexp_replace("row.price", "[$]", "").cast("bigint").alias("p"))
+    total = F.sum("p")
+    reports = rows.groupBy(*RT.RUN_KEYS).agg(F.count("*").alias("fetched_records"), (total % 3 > 0).alias("reconciled"), (total % 5 > 0).alias("told"))
+    return C.adapter_faults(rows.where("p % 97 > 0"), reports.where("told").drop("told")).drop("run_id")
+
+
 def adapter_canonical(routed: DataFrame) -> DataFrame:
     """Routed listing objects as canonical records."""
     r = F.col("parsed_row")
