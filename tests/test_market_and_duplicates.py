@@ -7,7 +7,7 @@ from itertools import product
 import pytest
 from pyspark.sql import functions as F
 
-from marketlens.functions.numbers import half_even, straight_line_distance
+from marketlens.functions.numbers import geodesic_km, half_even, straight_line_distance
 from marketlens.operators import duplicates as D
 from marketlens.operators import market as M
 from marketlens.operators import quantiles as Q
@@ -58,6 +58,22 @@ def test_rounding_and_distance(spark):
     assert abs(row.d.distance_km - 352) <= 3 and row.d.method == "geodesic_city_center"
 
 
+def test_geodesic_lengths(spark):
+    """Quarter meridian and equator arcs of the ellipsoid, a published pair, equal and antipodal points."""
+    import math
+    f = 1 / 298.257223563
+    quarter = 10001.9657  # from pole to equator
+    dms = lambda d, m, s: d + m / 60 + s / 3600
+    rows = [(0.0, 0.0, 90.0, 0.0, quarter), (0.0, 0.0, 0.0, 1.0, 6378.137 * math.pi / 180), (10.0, 20.0, 10.0, 20.0, 0.0), (90.0, 0.0, 90.0, 77.0, 0.0),
+            (-dms(37, 57, 3.7203), dms(144, 25, 29.5244), -dms(37, 39, 10.1561), dms(143, 55, 35.3839), 54.972271), (5.0, 179.5, 5.0, -179.5, None),
+            (0.0, 0.0, 0.5, 179.7, None)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, want double")
+    out = df.select("want", geodesic_km(*[F.col(x) for x in "abcd"]).alias("km")).collect()
+    for r in out[:5]:
+        assert r.km == pytest.approx(r.want, abs=2e-4)
+    assert out[5].km == pytest.approx(110.9, abs=0.2) and out[6].km == pytest.approx(math.pi * 6371 * (1 - f), rel=0.006)
+
+
 def test_quantiles_of_large_groups_are_narrowed(spark, monkeypatch):
     import random
     import statistics
