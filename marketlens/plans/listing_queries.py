@@ -141,36 +141,37 @@ def url_region_hints(spark: SparkSession, d: str) -> DataFrame:
     return listings(spark, d).select(*ids(), L.url_region(F.col("url"), "v-cars-trucks").alias("url_region_hint"))
 
 
-#: The inverse steps by recursion; numbers of the ellipsoid as in geodesic_km.
-DISTANCE_SQL = """
-with recursive home as (select 43.65 as hlat, -79.38 as hlon),
-c as (select c_custkey, case when c_nationkey % 4 > 0 then 40 + c_nationkey * 0.31 end as lat,
-             case when c_nationkey % 4 > 0 then -80 + c_acctbal / 1000 end as lon from customer),
-e as (select 1 / 298.257223563 as f, 6378.137 as a, 6378.137 * (1 - 1 / 298.257223563) as b),
-u as (select c.*, f, a, b, radians(lon - hlon) as l, atan((1 - f) * tan(radians(hlat))) as u1, atan((1 - f) * tan(radians(lat))) as u2 from c, home, e where lat is not null),
-w as (
-  select u.*, 0 as n, l as lam from u
+#: geo (key, km) of geo_points (key, hlat, hlon, lat, lon): the inverse steps by recursion; numbers of the ellipsoid as in geodesic_km.
+_SPHERE_SQL = """(select *, 1 - sa * sa as q, atan2(ss, cs) as sg from (select *, case when ss = 0 then 0 else cos(u1) * cos(u2) * sin(lam) / ss end as sa
+      from (select *, sqrt(pow(cos(u2) * sin(lam), 2) + pow(cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(lam), 2)) as ss,
+                   sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(lam) as cs from geo_steps where {0})))"""
+GEODESIC_SQL = f"""
+geo_ellipsoid as (select 1 / 298.257223563 as f, 6378.137 as a, 6378.137 * (1 - 1 / 298.257223563) as b),
+geo_start as (select key, f, a, b, radians(lon - hlon) as l, atan((1 - f) * tan(radians(hlat))) as u1, atan((1 - f) * tan(radians(lat))) as u2
+  from geo_points, geo_ellipsoid where lat is not null),
+geo_steps as (
+  select *, 0 as n, l as lam from geo_start
   union all
-  select c_custkey, lat, lon, f, a, b, l, u1, u2, n + 1, l + (1 - cc) * f * sa * (sg + cc * ss * (m + cc * cs * (2 * m * m - 1)))
+  select key, f, a, b, l, u1, u2, n + 1, l + (1 - cc) * f * sa * (sg + cc * ss * (m + cc * cs * (2 * m * m - 1)))
   from (select *, f / 16 * q * (4 + f * (4 - 3 * q)) as cc, case when q < 1e-15 then 0 else cs - 2 * sin(u1) * sin(u2) / q end as m
-    from (select *, 1 - sa * sa as q, atan2(ss, cs) as sg from (select *, case when ss = 0 then 0 else cos(u1) * cos(u2) * sin(lam) / ss end as sa
-      from (select *, sqrt(pow(cos(u2) * sin(lam), 2) + pow(cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(lam), 2)) as ss,
-                   sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(lam) as cs from w where n < 20)))) ),
-g as (
-  select *, uu / 1024 * (256 + uu * (uu * (74 - 47 * uu) - 128)) as bb, 1 + uu / 16384 * (4096 + uu * (uu * (320 - 175 * uu) - 768)) as aa
-  from (select *, q * (a * a - b * b) / (b * b) as uu, case when q < 1e-15 then 0 else cs - 2 * sin(u1) * sin(u2) / q end as m
-    from (select *, 1 - sa * sa as q, atan2(ss, cs) as sg from (select *, case when ss = 0 then 0 else cos(u1) * cos(u2) * sin(lam) / ss end as sa
-      from (select *, sqrt(pow(cos(u2) * sin(lam), 2) + pow(cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(lam), 2)) as ss,
-                   sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(lam) as cs from w where n = 20)))))
+    from {_SPHERE_SQL.format("n < 20")})),
+geo as (
+  select key, b * aa * (sg - bb * ss * (m + bb / 4 * (cs * (2 * m * m - 1) - bb / 6 * m * (4 * ss * ss - 3) * (4 * m * m - 3)))) as km
+  from (select *, uu / 1024 * (256 + uu * (uu * (74 - 47 * uu) - 128)) as bb, 1 + uu / 16384 * (4096 + uu * (uu * (320 - 175 * uu) - 768)) as aa
+    from (select *, q * (a * a - b * b) / (b * b) as uu, case when q < 1e-15 then 0 else cs - 2 * sin(u1) * sin(u2) / q end as m
+      from {_SPHERE_SQL.format("n = 20")})))
 """
 
 
-@query("straight_line_distance", DISTANCE_SQL + """
-select c.c_custkey, cast(round_even(b * aa * (sg - bb * ss * (m + bb / 4 * (cs * (2 * m * m - 1) - bb / 6 * m * (4 * ss * ss - 3) * (4 * m * m - 3)))), 0) as bigint) as distance_km,
-       case when c.lat is null then 'unavailable' else 'geodesic_city_center' end as method,
-       case when c.lat is null then 'location_or_geocode_unavailable'
+@query("straight_line_distance", f"""
+with recursive geo_points as (select c_custkey as key, 43.65 as hlat, -79.38 as hlon, case when c_nationkey % 4 > 0 then 40 + c_nationkey * 0.31 end as lat,
+             case when c_nationkey % 4 > 0 then -80 + c_acctbal / 1000 end as lon from customer),
+{GEODESIC_SQL}
+select p.key as c_custkey, cast(round_even(km, 0) as bigint) as distance_km,
+       case when p.lat is null then 'unavailable' else 'geodesic_city_center' end as method,
+       case when p.lat is null then 'location_or_geocode_unavailable'
             else 'straight_line_estimate_from_source_reported_location' end as evidence_status
-from c left join g using (c_custkey)
+from geo_points p left join geo using (key)
 """)
 def straight_line_distances(spark: SparkSession, d: str) -> DataFrame:
     located = F.col("c_nationkey") % 4 > 0
@@ -356,20 +357,18 @@ def structured_routed(spark: SparkSession, d: str) -> DataFrame:
     return RT.route_after_parsing(settle(ready))
 
 
-DISTANCE_SQL = """
-2 * 6371.0088 * asin(sqrt(least(1.0, pow(sin((radians(43 + city * 0.5) - radians(43.65)) / 2), 2)
-  + cos(radians(43.65)) * cos(radians(43 + city * 0.5)) * pow(sin(radians(-79 - city * 0.7 + 79.38) / 2), 2))))
-"""
 STATE_SQL = f"""
-with {TEXT_SQL},
+with recursive {TEXT_SQL},
 e as (
   select *, try_cast(nullif(replace(location, 'City ', ''), '') as double) as city,
          min(source_record_index) over (partition by vehicle_key, source, listing_id) as first_index
   from ad),
+geo_points as (select distinct city as key, 43.65 as hlat, -79.38 as hlon, 43 + city * 0.5 as lat, -79 - city * 0.7 as lon from e),
+{GEODESIC_SQL},
 f as (
-  select *, case when city is not null then cast(round_even({DISTANCE_SQL}, 0) as bigint) end as distance_km,
+  select e.*, cast(round_even(km, 0) as bigint) as distance_km,
          case when price % 97 = 0 then 'missing_vehicle_object' when price % 50 = 0 then 'invalid_price' else '' end as failure
-  from e),
+  from e left join geo on city = key),
 g as (
   select *, case when source_record_index > first_index then 'duplicate_source_listing_identity'
     when failure <> '' then '' else concat_ws(';',
