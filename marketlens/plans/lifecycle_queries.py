@@ -9,6 +9,7 @@ from marketlens.functions.numbers import elapsed_days, elapsed_seconds
 from marketlens.operators import lifecycle as LC
 from marketlens.operators import prices as P
 from marketlens.operators import retention as G
+from marketlens.operators.incremental import upgrade
 from marketlens.plans.bindings import OBS_SQL, seen, table
 from marketlens.plans.registry import query
 
@@ -202,6 +203,38 @@ def history_last_per_date(spark: SparkSession, d: str) -> DataFrame:
     return P.last_per_date(rows).select("listing_id", "date", "price", "removed")
 
 
+@query("deduplicated_log", """
+select 'market' as vehicle_key, event_type as source, cast(user_id as varchar) as canonical_listing_id, cast(cast(ts as date) as varchar) as run_id,
+       arg_max(cast(round(value * 100) as bigint), event_id) as price_cad
+from events group by all
+""")
+def deduplicated_log(spark: SparkSession, d: str) -> DataFrame:
+    """Repeated observations of a listing in a run; the last one counts."""
+    return LC.deduplicated_log(table(spark, d, "events").select(
+        F.lit("market").alias("vehicle_key"), F.col("event_type").alias("source"), F.col("user_id").cast("string").alias("canonical_listing_id"),
+        F.to_date("ts").cast("string").alias("run_id"), F.col("event_id").alias("source_record_index"),
+        F.round(F.col("value") * 100).cast("bigint").alias("price_cad")))
+
+
+@query("upgraded_state", """
+select cast(event_id as varchar) as canonical_listing_id, event_type as source, cast(case when event_id % 3 = 0 then 0 else 1 + event_id % 2 end as bigint) as observation_count,
+       cast(0 as bigint) as compacted, repeat('0', 64) as digest, cast(0 as bigint) as missing_run_count, cast(round(value * 100) as bigint) as first_price
+from events
+""")
+def upgraded_state(spark: SparkSession, d: str) -> DataFrame:
+    """Events as state rows of the first schema, with none, one or two stored observations."""
+    price = F.round(F.col("value") * 100).cast("bigint")
+    seen_at = F.struct(F.col("ts").cast("timestamp").alias("observed_at"), F.to_date("ts").cast("string").alias("run_id"), price.alias("price_cad"))
+    stored = F.when(F.col("event_id") % 3 == 0, F.lit(None)).when(F.col("event_id") % 2 == 0, F.array(seen_at)).otherwise(F.array(seen_at, seen_at))
+    old = table(spark, d, "events").select(
+        F.lit("market").alias("vehicle_key"), F.col("event_type").alias("source"), F.col("event_id").cast("string").alias("canonical_listing_id"),
+        F.lit("active").alias("lifecycle_state"), F.col("ts").cast("timestamp").alias("last_seen_at"), stored.alias("price_observations"),
+        price.alias("first_observed_price_cad"))
+    return upgrade(old).select(
+        "canonical_listing_id", "source", "observation_count", F.col("compacted_price_observation_count").alias("compacted"),
+        F.col("price_observation_compaction_digest_sha256").alias("digest"), "missing_run_count", F.col("first_observed_price_cad").alias("first_price"))
+
+
 @query("history_without_date", """
 with h as (select cast(user_id as varchar) as listing_id, event_id, cast(ts as date) as day, cast(round(value * 100) as bigint) as price from events),
 o as (select listing_id, event_id, 0 as position, day, price from h union all select listing_id, event_id, 1, day + 1, price from h)

@@ -12,7 +12,7 @@ from marketlens.operators import comparables as CO
 from marketlens.operators import duplicates as D
 from marketlens.operators import market as M
 from marketlens.operators.nodes import vin_claims
-from marketlens.plans.bindings import EARLY, LISTING_SQL, TEXT_SQL, ads, ids, listings, observations, OBS_SQL
+from marketlens.plans.bindings import EARLY, LISTING_SQL, TEXT_SQL, ads, ids, listings, observations, OBS_SQL, table
 from marketlens.plans.registry import query
 from marketlens.session import settle
 
@@ -421,6 +421,35 @@ def evidence_completeness(spark: SparkSession, d: str) -> DataFrame:
         *ids(), F.array_join("missing_investigation_fields", ";").alias("missing"), "evidence_completeness")
 
 
+@query("claim_statuses", f"""
+with {CLAIMS_SQL}
+select {KEYS}, engine_hours, case when engine_hours is null then 'unknown' else 'source_text_reported_unverified' end as engine_hours_status,
+       idle_hours, case when idle_hours is null then 'unknown' else 'source_text_reported_unverified' end as idle_hours_status
+from cl
+""")
+def claim_statuses(spark: SparkSession, d: str) -> DataFrame:
+    """Evidence status next to each claimed value."""
+    return claimed(spark, d).select(*ids(), *[c for n in ("engine_hours", "idle_hours") for c in (
+        F.col(n), C.claim_status(F.col(n)).alias(f"{n}_status"))])
+
+
+@query("override_faults", """
+with o as (select case when o_custkey % 7 = 0 then '' else cast(o_orderkey as varchar) end as id, o_orderstatus = 'P' as odd,
+  o_orderpriority = '2-HIGH' as unsupported, o_orderpriority in ('1-URGENT', '2-HIGH') as classed, o_totalprice > 100000 as reasoned from orders)
+select id as canonical_listing_id, unnest(list_filter([case when id = '' then 'missing_listing_id' end, case when odd then 'unsupported_disposition' end,
+  case when unsupported then 'unsupported_classification' end, case when classed and not reasoned then 'override_reason_required' end], lambda x: x is not null)) as fault
+from o
+""")
+def override_faults(spark: SparkSession, d: str) -> DataFrame:
+    """Orders read as owner overrides, some against the contract."""
+    overrides = table(spark, d, "orders").selectExpr(
+        "case when o_custkey % 7 = 0 then '' else cast(o_orderkey as string) end as canonical_listing_id",
+        "case o_orderstatus when 'F' then 'contacted' when 'O' then 'unreviewed' else 'odd' end as owner_disposition",
+        "case o_orderpriority when '1-URGENT' then 'hold' when '2-HIGH' then 'unheard_of' end as classification_override",
+        "case when o_totalprice > 100000 then 'owner decision' else ' ' end as override_reason")
+    return C.override_faults(overrides)
+
+
 @query("hour_context", f"""
 with {CLAIMS_SQL}
 select {KEYS}, case when engine_hours > 0 and mileage % 13 > 0 then round_even(mileage / engine_hours, 2) end as km_per_engine_hour,
