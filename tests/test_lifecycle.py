@@ -181,20 +181,20 @@ def test_stream_log_equals_stepping_and_grows_with_runs(spark, tmp_path):
     from pathlib import Path
     rng, folder, at = random.Random(5), str(tmp_path), START
     state, runs = I.empty_state(spark), []
-    for i in range(8):
-        at += timedelta(days=rng.choice([5, 9, 20]))
+    for i in range(6):
+        at += timedelta(days=rng.choice([9, 20]))
         runs.append((f"r{i:02d}", at))
     runs.insert(4, runs[3])
     runs.append(runs[-1])
     for version, (run, ts) in enumerate(runs):
         rows = [("v", "s", run, ts, f"l{k}", rng.randint(1, 9)) for k in range(12) if rng.random() < 0.35] or [("v", "s", run, ts, None, None)]
         batch = spark.createDataFrame(rows, S.SNAPSHOT_SCHEMA)
-        S.apply_batch(batch, version, folder, keep=2, compact_every=4)
+        S.apply_batch(batch, version, folder, keep=0, compact_every=4)
         wave = spark.createDataFrame([("v", "s", run, ts)], "vehicle_key string, source string, run_id string, run_ts timestamp")
         advanced = I.advance(state, wave, batch.where("canonical_listing_id is not null"))
-        left = I.prune(advanced, 2)[0].collect()
+        left = I.prune(advanced, 0)[0].collect()
         state = spark.createDataFrame(left, I.empty_state(spark).schema)
-        if version in (2, 4, 7, 9):
+        if version in (4, 7):
             found = S.state_at(spark, folder, version).collect()
             assert sorted(map(str, found)) == sorted(map(str, left)), version
             names = {r[4] for r in rows if r[4]}
