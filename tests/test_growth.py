@@ -83,3 +83,16 @@ def test_a_right_row_is_copied_to_the_cells_it_reaches(spark, monkeypatch):
     pairs = {(r["left_profile"], r["right_profile"]) for r in D.band_pairs(found).collect()}
     assert pairs == {(f"A{p}", f"B{q}") for p in price for q in price if abs(p - q) <= 3000}
     assert kept[0].count() <= 4 * len(rows)
+
+
+def test_only_fields_that_are_read_are_normalised(spark, monkeypatch):
+    keys = "run_id string, vehicle_key string, source string, source_record_index bigint, malformed boolean, quarantined boolean"
+    rows = spark.createDataFrame([("r", "v", "s", i, i == 0, False) for i in range(3)], keys).withColumn(
+        "row", F.struct(*[F.concat(F.lit("7"), F.col("run_id")).alias(c) for c in LQ.SNAPSHOT_FIELDS]))
+    monkeypatch.setattr(LQ, "snapshot", lambda *_: rows.join(spark.createDataFrame([("v",)], "vehicle_key string"), "vehicle_key"))
+    counts = LQ.canonical_reconciliation(spark, "")
+    assert "regexp_replace" not in plan(counts)
+    assert [(r["accepted_records"], r["parse_failures"], r["reconciled"]) for r in counts.collect()] == [(2, 1, True)]
+    records = LQ.canonical_records(spark, "")
+    assert "weeks_tracked AS" not in plan(records) and plan(records).count("regexp_replace") < 8
+    assert sorted((r["source_record_index"], r["year"], r["fuel"]) for r in records.collect()) == [(0, None, None), (1, 7, "7r"), (2, 7, "7r")]
