@@ -14,6 +14,7 @@ from marketlens.operators import claims
 from marketlens.operators import duplicates as D
 from marketlens.operators import extract as E
 from marketlens.plans import listing_queries as LQ
+from marketlens.session import spread
 
 
 def plan(df):
@@ -96,3 +97,9 @@ def test_only_fields_that_are_read_are_normalised(spark, monkeypatch):
     records = LQ.canonical_records(spark, "")
     assert "weeks_tracked AS" not in plan(records) and plan(records).count("regexp_replace") < 8
     assert sorted((r["source_record_index"], r["year"], r["fuel"]) for r in records.collect()) == [(0, None, None), (1, 7, "7r"), (2, 7, "7r")]
+
+
+def test_rows_of_large_scans_are_spread_to_several_tasks_a_core(spark):
+    cores = spark.sparkContext.defaultParallelism
+    tasks = [spread(spark.range(0, 100, 1, n)).rdd.getNumPartitions() for n in (1, cores, 4 * cores, 9 * cores)]
+    assert tasks == [cores, 4 * cores, 4 * cores, 9 * cores]
