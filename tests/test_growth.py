@@ -103,3 +103,11 @@ def test_rows_of_large_scans_are_spread_to_several_tasks_a_core(spark):
     cores = spark.sparkContext.defaultParallelism
     tasks = [spread(spark.range(0, 100, 1, n)).rdd.getNumPartitions() for n in (1, cores, 4 * cores, 9 * cores)]
     assert tasks == [cores, 4 * cores, 4 * cores, 9 * cores]
+
+
+def test_components_of_profile_members_are_worked_out_once(spark):
+    rows = spark.createDataFrame([("v", "A", "a", "x"), ("v", "A", "b", "x"), ("v", "B", "c", None)],
+                                 "vehicle_key string, source string, canonical_listing_id string, name string")
+    members = D.profile_members(rows.join(spark.range(1)).withColumn("profile_id", F.sha2("name", 256)))
+    assert "sha2" not in plan(members)
+    assert sorted((r["canonical_listing_id"], r["representative"], r["members"]) for r in members.collect()) == [("a", "a", 2), ("b", "a", 2)]
