@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -74,30 +75,44 @@ def read_snapshots(spark: SparkSession, path: str, columns: Sequence[str] = SNAP
         F.exists(beyond, lambda c: c.isNotNull()).alias("malformed"), "file")
 
 
+@contextmanager
+def same_splits(spark: SparkSession) -> Iterator[None]:
+    """Files are cut into the same splits by all scans that run here, though executors come and go."""
+    name = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, before or str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+
+
 def quoted_records(spark: SparkSession, path: str) -> DataFrame:
     """file, number, text and open of each CSV record; quoted fields may hold line ends, and files are read by many tasks.
 
     Lines are read from splits of a file. A first pass counts the quotes of each split; their running parity tells whether a split
-    begins within quotes. A second pass finds the lines that begin a record and numbers them, splits counting up. Only
-    records of several lines are put together by key. Blank lines between records do not count. A record whose quotes never close
-    takes the rest of the file and is marked ``open``.
+    begins within quotes. A second pass finds the lines that begin a record and numbers them within their split; only its
+    lines are written, and splits count up. Only records of several lines are put together by key. Blank lines between records do
+    not count. A record whose quotes never close takes the rest of the file and is marked ``open``.
     """
     lines = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
         F.monotonically_increasing_id().alias("n"), F.col("value").alias("line"))
-    lines = settle(lines.withColumn("quotes", F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))))
+    lines = lines.withColumn("quotes", F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit(""))))
     files, split = Window.partitionBy("file").orderBy("at"), Window.partitionBy("file", "at").orderBy("n")
     before = files.rowsBetween(Window.unboundedPreceding, -1)
-    blocks = lines.groupBy("file", "at").agg(F.sum("quotes").alias("quotes"))
-    blocks = blocks.select("file", "at", F.coalesce(F.sum("quotes").over(before), F.lit(0)).alias("_quotes_before"))  # a row per split
-    inside = F.col("_quotes_before") + F.sum("quotes").over(split) - F.col("quotes")
-    begun = settle(lines.join(small_side(blocks), ["file", "at"]).withColumn("begins", (inside % 2 == 0)).withColumn(
-        "begins", F.col("begins") & ~((F.btrim("line", F.lit("\r ")) == "") & (F.col("quotes") == 0))).withColumn(
-        "blank", (inside % 2 == 0) & ~F.col("begins")).where("not blank").drop("blank", "_quotes_before"))
+    with same_splits(spark):
+        blocks = lines.groupBy("file", "at").agg(F.sum("quotes").alias("quotes"))
+        blocks = small_side(blocks.select("file", "at", F.coalesce(F.sum("quotes").over(before), F.lit(0)).alias("_quotes_before")))  # a row per split
+        inside = F.col("_quotes_before") + F.sum("quotes").over(split) - F.col("quotes")
+        empty = (F.btrim("line", F.lit("\r ")) == "") & (F.col("quotes") == 0)
+        begun = settle(lines.join(blocks, ["file", "at"]).withColumn("_outside", inside % 2 == 0).withColumn(
+            "begins", F.col("_outside") & ~empty).withColumn("_local", F.sum(F.col("begins").cast("bigint")).over(split)).where(
+            "begins or not _outside").drop("_quotes_before", "_outside"), "zstd")
     counts = begun.groupBy("file", "at").agg(F.count_if("begins").alias("records"))
     firsts = small_side(counts.select("file", "at", F.coalesce(F.sum("records").over(before), F.lit(0)).alias("_first")))
-    numbered = begun.join(firsts, ["file", "at"]).withColumn(
-        "number", F.col("_first") + F.sum(F.col("begins").cast("bigint")).over(split) - 1)
+    numbered = begun.join(firsts, ["file", "at"]).withColumn("number", F.col("_first") + F.col("_local") - 1)
     whole = F.col("quotes") % 2 == 0
     single = numbered.where("begins").where(whole).select("file", "number", F.col("line").alias("text"), F.lit(False).alias("open"))
     several = numbered.where(~(F.col("begins") & whole)).groupBy("file", "number").agg(
@@ -111,7 +126,7 @@ def read_numbered_snapshots(spark: SparkSession, path: str, columns: Sequence[st
 
     A record beyond its header, or with quotes that never close, is one malformed row and counts.
     """
-    records = settle(quoted_records(spark, path).withColumn("text", F.regexp_replace("text", "^\ufeff", "")))
+    records = settle(quoted_records(spark, path).withColumn("text", F.regexp_replace("text", "^\ufeff", "")), "zstd")
     most = 1 + (records.select(F.max(F.length("text") - F.length(F.replace("text", F.lit(","), F.lit(""))))).first()[0] or 0)
     cells = F.from_csv("text", ", ".join(f"_{i} STRING" for i in range(most)), {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "maxColumns": str(most + 1), "maxCharsPerColumn": "-1"})
     parsed = records.select("file", "number", "open", F.array(*[cells[f"_{i}"] for i in range(most)]).alias("_cells"))

@@ -15,6 +15,7 @@ from marketlens.operators import duplicates as D
 from marketlens.operators import extract as E
 from marketlens.plans import listing_queries as LQ
 from marketlens.session import spread
+from marketlens.sources import snapshots as SN
 
 
 def plan(df):
@@ -111,3 +112,13 @@ def test_components_of_profile_members_are_worked_out_once(spark):
     members = D.profile_members(rows.join(spark.range(1)).withColumn("profile_id", F.sha2("name", 256)))
     assert "sha2" not in plan(members)
     assert sorted((r["canonical_listing_id"], r["representative"], r["members"]) for r in members.collect()) == [("a", "a", 2), ("b", "a", 2)]
+
+
+def test_lines_of_snapshot_files_are_written_once(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text('listing_id,url\na,"x\ny"\n\nb,z\n')
+    settled, kept = [], SN.settle
+    monkeypatch.setattr(SN, "settle", lambda df, *more: settled.append(df.columns) or kept(df, *more))
+    found = SN.quoted_records(spark, str(tmp_path))
+    assert [c for c in settled if "line" in c] == [["file", "at", "n", "line", "quotes", "begins", "_local"]]
+    assert sorted((r["number"], r["text"], r["open"]) for r in found.collect()) == [
+        (0, "listing_id,url", False), (1, 'a,"x\ny"', False), (2, "b,z", False)]
