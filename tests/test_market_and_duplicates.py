@@ -42,6 +42,17 @@ def test_fallbacks(spark):
     assert few["1"].cohort_basis == "all" and few["1"].price_difference_from_median_cad is None
 
 
+def test_only_cohorts_that_something_falls_back_to_are_counted(spark, monkeypatch):
+    seen, quantiles = [], M.exact_quantiles
+    monkeypatch.setattr(M, "exact_quantiles", lambda hist, *a, **k: seen.append(hist) or quantiles(hist, *a, **k))
+    rows = [("v", y, p, 5) for y in (2010, 2011, 2021) for p in (10, 20, 30)] + [("w", 2010, 7, None), ("w", 2014, 0, 3), (None, 2010, 5, 5)]
+    out = M.cohort_by_year(spark.createDataFrame(rows, "vehicle_key string, year int, price_cad bigint, mileage_km bigint"), "all").collect()
+    assert {(r.vehicle_key, r.year): (r.cohort_basis, r.comparable_count, r.sample_count) for r in out} == {
+        **{("v", y): (f"exact_model_year_{y}", 3, 3) for y in (2010, 2011, 2021)}, ("w", 2010): ("all", 1, None), ("w", 2014): ("all", 1, None)}
+    assert {tuple(r) for r in seen[0].select("vehicle_key", "level", "cohort_year").distinct().collect()} == {
+        ("v", 1, 2010), ("v", 1, 2011), ("v", 1, 2021), ("w", 4, M.ANY_YEAR)}
+
+
 def test_constant_price_has_zero_r_squared(spark):
     got = context(spark, [(2023, 500, km) for km in (1, 2, 3, 4, 5)])["0"]
     assert (got.r_squared, got.slope_cad_per_10000_km, got.projection_status) == (0.0, 0.0, "available")
