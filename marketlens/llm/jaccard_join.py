@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm.links import components
@@ -280,25 +280,18 @@ def _bin_filter(percent: int):
     return run
 
 
-def _overlap(percent: int):
-    """Links among pairs that come with both token sets."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = []
-            for x, y in zip(batch.column("xa"), batch.column("xb")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(x) + len(y) - len(np.union1d(x, y))
-                ok.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-    return run
+def _overlap(percent: int) -> Column:
+    """Whether two token sets are similar enough; taken row by row, so no batch holds the sets of many pairs."""
+    return F.lit(100 + percent).cast("long") * F.size(F.array_intersect("xa", "xb")) >= percent * (F.size("xa") + F.size("xb")).cast("long")
 
 
 def _sets(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, sets in shingle_sets(batch.column(1), shingle):
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, len(sets)), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc", "x"])
+                tokens = pa.array(np.concatenate(sets).view(np.int64))
+                ends = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(sets)), pa.ListArray.from_arrays(ends, tokens)], ["doc", "x"])
     return run
 
 
@@ -311,8 +304,8 @@ def _verified(pairs: DataFrame, rows: DataFrame, texts: DataFrame, percent: int,
 
     close = settle(with_sides(pairs, rows, "n", "x").mapInArrow(_bin_filter(percent), "a long, b long"))
     wanted = close.select(F.col("a").alias("doc")).union(close.select("b")).distinct()
-    sets = settle(texts.join(wanted, "doc", "left_semi").select("doc", "text").mapInArrow(tidy(_sets(shingle)), "doc long, x binary"))
-    return with_sides(close, sets, "x").mapInArrow(tidy(_overlap(percent)), "a long, b long")
+    sets = settle(texts.join(wanted, "doc", "left_semi").select("doc", "text").mapInArrow(tidy(_sets(shingle)), "doc long, x array<long>"))
+    return with_sides(close, sets, "x").where(_overlap(percent)).select("a", "b")
 
 
 def _blocks(members: DataFrame, rows: DataFrame, percent: int) -> DataFrame:

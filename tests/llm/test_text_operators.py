@@ -98,6 +98,19 @@ def test_jaccard_join_with_every_key_crowded(docs, rows, monkeypatch):
     assert got(jaccard_join.near_duplicates(docs), "doc_id", "n_shingles", "component_id") == linked(rows)
 
 
+def test_jaccard_join_compares_whole_sets_row_by_row(spark, capsys):
+    import pyarrow as pa
+    base = [f"w{i}" for i in range(60)]
+    made = [(1, " ".join(base)), (2, " ".join([*base, "x"])), (3, " ".join(base[:40])), (4, " ".join(base[:20] + ["y"] + base[20:]))]
+    ((_, sets),) = jaccard_join.shingle_sets(pa.array([t for _, t in made]), 5)
+    sides = spark.createDataFrame([(d, len(s), bytearray(jaccard_join._histogram(s))) for (d, _), s in zip(made, sets)], "doc long, n long, x binary")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (1, 4), (2, 4)], "a long, b long")
+    links = jaccard_join._verified(pairs, sides, spark.createDataFrame(made, "doc long, text string"), 80, 5)
+    links.explain()
+    assert "InArrow" not in capsys.readouterr().out  # a batch to Python would hold both sets of 10,000 pairs
+    assert sorted(map(tuple, links.collect())) == [(1, 2), (1, 4), (2, 4)]
+
+
 def test_linked_sets_share_a_key():
     import numpy as np
     rnd = np.random.default_rng(3)
