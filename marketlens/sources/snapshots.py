@@ -130,13 +130,15 @@ def read_numbered_snapshots(spark: SparkSession, path: str, columns: Sequence[st
     most = 1 + (records.select(F.max(F.length("text") - F.length(F.replace("text", F.lit(","), F.lit(""))))).first()[0] or 0)
     cells = F.from_csv("text", ", ".join(f"_{i} STRING" for i in range(most)), {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "maxColumns": str(most + 1), "maxCharsPerColumn": "-1"})
     parsed = records.select("file", "number", "open", F.array(*[cells[f"_{i}"] for i in range(most)]).alias("_cells"))
-    headers = small_side(parsed.where("number = 0").select("file", F.transform(F.array_compact("_cells"), lambda c: F.btrim(c, F.lit("\r "))).alias("_names")))
+    headers = parsed.where("number = 0").select("file", F.transform(F.array_compact("_cells"), lambda c: F.btrim(c, F.lit("\r "))).alias("_names"))
+    places = F.array(*[F.nullif(F.array_position("_names", F.lit(c)).cast("int"), F.lit(0)) for c in columns])
+    headers = small_side(headers.select("file", F.size("_names").alias("_width"), places.alias("_places")))  # names are looked up once a file
     named = parsed.where("number > 0").join(headers, "file")
 
     def cell(name: str) -> Column:
-        return F.try_element_at("_cells", F.nullif(F.array_position("_names", F.lit(name)).cast("int"), F.lit(0)))
+        return F.try_element_at("_cells", F.col("_places")[columns.index(name)])
 
-    beyond = F.slice("_cells", F.size("_names") + 1, F.lit(most + 1))
+    beyond = F.slice("_cells", F.col("_width") + 1, F.lit(most + 1))
     return named.select(
         F.struct(*[cell(c).alias(c) for c in columns]).alias("row"),
         (F.col("open") | F.exists(beyond, lambda c: c.isNotNull())).alias("malformed"), "file",
