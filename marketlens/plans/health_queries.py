@@ -11,7 +11,7 @@ from marketlens.operators import duplicates as D
 from marketlens.operators import health as H
 from marketlens.operators import review as RV
 from marketlens.plans.bindings import table
-from marketlens.plans.market_queries import DUPLICATE_SQL, identities
+from marketlens.plans.market_queries import DUPLICATE_SQL, identities, linkable
 from marketlens.plans.registry import query
 from marketlens.session import settle
 
@@ -219,7 +219,7 @@ where not exists (select 1 from excluded e where e.vehicle_key = t.vehicle_key a
 """)
 def manual_review(spark: SparkSession, d: str) -> DataFrame:
     """Review rows of all sources but one whose stated count does not match (left out as a whole)."""
-    found = settle(identities(spark, d))
+    found = settle(linkable(identities(spark, d), "vin_evidence_status"))
     accepted = found.select(
         "vehicle_key", "source", "canonical_listing_id", F.lit("run-1").alias("run_id"),
         F.lit("accepted").alias("record_stage"), F.lit(1).alias("evidence_schema_version"),
