@@ -122,3 +122,86 @@ def test_lines_of_snapshot_files_are_written_once(spark, tmp_path, monkeypatch):
     assert [c for c in settled if "line" in c] == [["file", "at", "n", "line", "quotes", "begins", "_local"]]
     assert sorted((r["number"], r["text"], r["open"]) for r in found.collect()) == [
         (0, "listing_id,url", False), (1, 'a,"x\ny"', False), (2, "b,z", False)]
+
+
+LISTING = ("vehicle_key string, source string, canonical_listing_id string, year bigint, make string, model string, trim string, price_cad bigint, "
+           "mileage_km bigint, dealer string, location string, vin_claim string, vin_evidence_status string")
+
+
+def identified(spark, copies=5):
+    """Listings of two sources, some of them copies of one profile, one with a common number."""
+    rows = [("v", s, f"{s}{p}-{i}", 2000, "m", "k", "red ring", 10000 + 1000 * p, 50000, "d", "l", "1FT00000000000001" if p == 9 else None,
+             D.VIN_VALID if p == 9 else "not_reported") for s in ("A", "B") for p in (0, 1, 2, 9) for i in range(copies if p == 0 else 1)]
+    return D.with_profile(D.identity_components(spark.createDataFrame(rows, LISTING))).cache()
+
+
+def test_listings_and_representatives_come_with_the_pairs(spark, monkeypatch):
+    monkeypatch.setattr(D, "LISTED", 2)
+    found = identified(spark)
+    profiles = D.profiles(found)
+    joined = D.listing_pairs(D.profile_pairs(profiles), found)
+    pairs = D.profile_pairs(D.with_listings(profiles, found))
+    carried = D.listing_pairs(pairs, found)
+    assert plan(carried).count("Join") == plan(pairs).count("Join")
+    assert sorted(map(str, carried.collect())) == sorted(map(str, joined.collect())) and carried.count() > 25
+    members = D.profile_members(found)
+    named = D.profile_pairs(D.with_representatives(profiles, members))
+    assert plan(D.named_pairs(named, members)).count("Join") == plan(named).count("Join")
+    both = [D.named_pairs(p, members).select("left", "right", "reasons").collect() for p in (named, D.profile_pairs(profiles))]
+    assert sorted(both[0]) == sorted(both[1]) and both[0]
+
+
+def test_pairs_are_summed_up_by_hash_and_only_sources_that_can_meet_are_dealt(spark, monkeypatch):
+    dealt = []
+    split = D._split_dense
+    monkeypatch.setattr(D, "_split_dense", lambda near, around: (dealt.append((near, around)), split(near, around))[1])
+    found = identified(spark)
+    index = D.candidate_index(D.profiles(found), found)
+    assert "collect_set" not in plan(index) and "first(" not in plan(D.profiles(found))
+    assert {r[0] for r in dealt[0][0].select("l_source").collect()} == {"A"} and {r[0] for r in dealt[0][1].select("r_source").collect()} == {"B"}
+    got = {r["canonical_listing_id"]: r for r in index.collect()}
+    assert (got["A0-1"]["duplicate_candidate_count"], got["A0-1"]["highest_duplicate_confidence"]) == (7, "medium")
+    assert (got["B9-0"]["duplicate_candidate_count"], got["B9-0"]["duplicate_candidate_reasons"]) == (1, [D.VIN_REASON])
+
+
+def test_candidate_ids_are_dealt_once(spark):
+    rows = spark.createDataFrame([("v", "c2", "a", "b"), ("v", "c2", "a", "b"), ("v", "c1", "a", "x"), (None, None, "a", None)],
+                                 "vehicle_key string, candidate_id string, left_listing_id string, right_listing_id string")
+    ids = D.listing_duplicate_ids(rows)
+    assert ids._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    got = [tuple(r) for r in ids.select("vehicle_key", "canonical_listing_id", "candidate_id", "position").collect()]
+    assert sorted(map(str, got)) == sorted(map(str, [("v", "a", "c1", 1), ("v", "a", "c2", 2), ("v", "b", "c2", 1), ("v", "x", "c1", 1), (None, "a", None, 1), (None, None, None, 1)]))
+
+
+def test_texts_are_searched_and_steps_made_no_more_than_needed(spark):
+    from marketlens.functions.numbers import geodesic_km
+    from marketlens.functions.text import engine_text
+
+    df = spark.createDataFrame([("1995 cc", 43.65, -79.38, 45.0, -81.1)], "c string, a double, b double, x double, y double")
+    assert plan(df.select(engine_text(F.col("c")))).count("regexp_replace") <= 2
+    assert "now = " in plan(df.select(geodesic_km(*map(F.col, "abxy"))))
+    assert "array_sort" not in plan(df.select(R.labels(F.col("c"), claims.OTHER_USE_RULES)))
+    assert df.select(engine_text(F.col("c"))).first()[0] == "2.0L"
+
+
+def test_names_of_snapshot_columns_are_looked_up_once_a_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("url,listing_id\nx,1\ny\nz,2,3\n")
+    (tmp_path / "b.csv").write_text("listing_id\n5\n")
+    rows = SN.read_numbered_snapshots(spark, str(tmp_path), ["listing_id", "url"])
+    assert "array_position" not in plan(rows)
+    got = sorted((r["row"]["url"] or "", r["row"]["listing_id"] or "", r["malformed"], r["source_record_index"]) for r in rows.collect())
+    assert got == [("", "5", False, 0), ("x", "1", False, 0), ("y", "", False, 1), ("z", "2", True, 2)]
+
+
+def test_the_closest_row_is_found_by_its_distance_first(spark):
+    columns = "vehicle_key string, listing_id string, year bigint, price bigint, mileage bigint, record string"
+    base = [("v", f"b{i}", 2000, 1000 + 37 * i, 5000 + 111 * i, f"b{i}") for i in range(20)]
+    other = [("v", f"o{i}", 2000, 1010 + 29 * i, 5100 + 97 * i, f"o{i}") for i in range(25)] + [("v", "b3", 1990, 9, 9, "same")]
+    out = D.best_cross_source_match(spark.createDataFrame(base, columns), spark.createDataFrame(other, columns))
+    want = {}
+    for b in base:
+        near = [(0 if o[1] == b[1] else 1, abs(o[3] - b[3]), abs(o[4] - b[4]), o[1]) for o in other
+                if o[1] == b[1] or (o[2] == b[2] and abs(o[3] - b[3]) <= 100 and abs(o[4] - b[4]) <= 1000)]
+        want[b[5]] = min(near)[3] if near else None
+    assert {r["record"]: r["other_listing_id"] for r in out.collect()} == want and want["b3"] == "b3"
+    assert "other_url" not in out.columns
